@@ -11,6 +11,7 @@ import datetime as dt
 import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -36,12 +37,15 @@ class Settings:
 class Warehouse:
     def __init__(self, spark: SparkSession, base: str, settings: Settings = Settings()):
         self.spark, self.base, self.settings = spark, base, settings
-        self.folder = (
-            f"{work_dir(spark)}/lakemart/{spark.sparkContext.applicationId}/{fingerprint(spark, base)}"
-        )
+
+    @cached_property
+    def _folder(self) -> str:
+        """One folder per session and state of the input files."""
+        application = self.spark.sparkContext.applicationId
+        return f"{work_dir(self.spark)}/lakemart/{application}/{fingerprint(self.spark, self.base)}"
 
     def _stored(self, table: str, plan: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{self.folder}/{table}"
+        path = f"{self._folder}/{table}"
         with _lock:
             if path not in _written:
                 rows = plan()
