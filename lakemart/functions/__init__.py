@@ -1,4 +1,5 @@
 from lakemart.functions.dates import (
+    calendar_day,
     month_label,
     month_start,
     parse_yyyymmdd,
@@ -10,6 +11,7 @@ from lakemart.functions.numbers import int_div, percent_text, ratio, wide_ratio
 from lakemart.functions.text import concat_skip_null, map_codes, strip_prefix
 
 __all__ = [
+    "calendar_day",
     "concat_skip_null",
     "int_div",
     "map_codes",

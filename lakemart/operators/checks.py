@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.functions import calendar_day
 from lakemart.operators.measures import stack
 
 
@@ -49,13 +50,10 @@ def ends_before_start(start: str, end: str) -> Column:
 
 
 def bad_day_number(name: str, earliest: int = 19000101, latest: int = 20500101) -> Column:
-    """Not a plausible ``yyyymmdd``: sign, digits, range, or no such calendar day."""
+    """Not a plausible ``yyyymmdd``: out of range, or no such calendar day (sign and digits included)."""
     value = F.col(name)
-    text = value.cast("string")
-    no_such_day = value.isNotNull() & F.call_function("try_to_date", text, F.lit("yyyyMMdd")).isNull()
-    return (
-        (value <= 0) | (F.length(text) != 8) | (value > latest) | (value < earliest) | no_such_day
-    )
+    no_such_day = value.isNotNull() & calendar_day(value).isNull()
+    return (value > latest) | (value < earliest) | no_such_day
 
 
 def ordered_too_late(ordered: str, shipped: str, due: str) -> Column:

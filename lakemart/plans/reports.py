@@ -13,8 +13,12 @@ from lakemart.plans.segments import CustomerRule, ProductRule, age_band
 from lakemart.plans.star import dated, per_member, quantity_sum, sales_sum
 
 
-def _lifespan() -> Column:
-    return whole_months(F.max("order_date"), F.min("order_date")).alias("lifespan_months")
+def _first_and_last(last: str) -> list[Column]:
+    return [F.max("order_date").alias(last), F.min("order_date").alias("_first")]
+
+
+def _lifespan(last: str) -> Column:
+    return whole_months(F.col(last), F.col("_first"))
 
 
 def _per_order() -> Column:
@@ -41,10 +45,13 @@ def report_customers(
         dated(fact), "customer_key",
         [
             F.count_distinct("order_number").alias("total_orders"), sales_sum(), quantity_sum(),
-            F.max("order_date").alias("latest_order"), _lifespan(),
+            *_first_and_last("latest_order"),
         ],
         customers, ["customer_number", "first_name", "last_name", "birth_date"],
-    ).withColumn("age", whole_years(today, F.col("birth_date")))
+    ).withColumns({
+        "age": whole_years(today, F.col("birth_date")),
+        "lifespan_months": _lifespan("latest_order"),
+    })
     return rows.select(
         "customer_key",
         "customer_number",
@@ -71,12 +78,12 @@ def report_products(
     rows = per_member(
         dated(fact), "product_key",
         [
-            F.max("order_date").alias("last_sale_order"), _lifespan(), sales_sum(), quantity_sum(),
+            *_first_and_last("last_sale_order"), sales_sum(), quantity_sum(),
             F.count_distinct("customer_key").alias("total_customers"),
             F.count_distinct("order_number").alias("total_orders"),
         ],
         products, attributes,
-    )
+    ).withColumn("lifespan_months", _lifespan("last_sale_order"))
     return rows.select(
         "product_key",
         *attributes,

@@ -21,6 +21,19 @@ from lakemart.plans.segments import CustomerRule, ProductRule
 from lakemart.session import work_dir
 from lakemart.sources.order_tables import RAW_TABLES, fingerprint
 
+# Stored because later queries would repeat a shuffle or a costly projection of all lines.
+# The categories are stored so that their size is known to the joins.
+LANDED = ("crm_sales_details", "erp_px_cat_g1v2")
+CLEANED = ("crm_cust_info", "crm_prd_info", "crm_sales_details")
+
+SILVER_PLANS = {
+    "crm_cust_info": silver.customers,
+    "crm_prd_info": silver.products,
+    "crm_sales_details": silver.sales,
+    "erp_loc_a101": silver.locations,
+    "erp_px_cat_g1v2": silver.categories,
+}
+
 _written: dict[str, T.StructType] = {}
 _lock = threading.RLock()
 
@@ -57,23 +70,18 @@ class Warehouse:
         def plan() -> DataFrame:
             return RAW_TABLES[table](self.spark, self.base)
 
-        return self._stored("bronze_sales", plan) if table == "crm_sales_details" else plan()
+        return self._stored(f"bronze_{table}", plan) if table in LANDED else plan()
 
     def raw_tables(self) -> dict[str, DataFrame]:
         return {table: self.raw(table) for table in RAW_TABLES}
 
     def clean(self, table: str) -> DataFrame:
-        raw = self.raw(table)
-        if table == "erp_cust_az12":
-            return silver.erp_customers(raw, self.settings.as_of)
-        plans = {
-            "crm_cust_info": silver.customers,
-            "crm_prd_info": silver.products,
-            "crm_sales_details": silver.sales,
-            "erp_loc_a101": silver.locations,
-            "erp_px_cat_g1v2": silver.categories,
-        }
-        return plans[table](raw)
+        def plan() -> DataFrame:
+            if table == "erp_cust_az12":
+                return silver.erp_customers(self.raw(table), self.settings.as_of)
+            return SILVER_PLANS[table](self.raw(table))
+
+        return self._stored(f"silver_{table}", plan) if table in CLEANED else plan()
 
     def clean_tables(self) -> dict[str, DataFrame]:
         return {table: self.clean(table) for table in RAW_TABLES}

@@ -58,11 +58,22 @@ def test_parse_yyyymmdd(values):
 
 @pytest.mark.parametrize("number", [20140230, -2014010])
 def test_parse_impossible_day(values, number):
-    with pytest.raises(Exception, match="CANNOT_PARSE|could not be parsed"):
+    with pytest.raises(Exception, match="not a calendar day|DATETIME_FIELD_OUT_OF_BOUNDS"):
         values([(number,)], "d int", parse_yyyymmdd(F.col("d")))
     assert values([(number,)], "d int", parse_yyyymmdd(F.col("d"), on_invalid="null")) == [None]
 
 
+def test_parse_every_day_and_no_other(spark):
+    numbers = spark.range(19990000, 20010000).select(F.col("id").cast("int").alias("n"))
+    got = dict(numbers.select("n", parse_yyyymmdd(F.col("n"), on_invalid="null")).collect())
+    for n, day in got.items():
+        try:
+            wanted = D(n // 10000, n // 100 % 100, n % 100)
+        except ValueError:
+            wanted = None
+        assert day == wanted, n
+
+
 def test_parse_rejects_unknown_mode():
     with pytest.raises(ValueError):
         parse_yyyymmdd(F.lit(1), on_invalid="guess")
