@@ -2,7 +2,8 @@
 
 The order-processing tables carry clean data, so the faults a raw export has
 (missing keys, old copies, odd codes, unreadable dates, wrong amounts) are put
-in by key arithmetic. Ids stay 64-bit: key ranges grow with the data.
+in by key arithmetic. No input row is left out: where a partner should be
+missing, its key is misspelled. Ids stay 64-bit: key ranges grow with the data.
 """
 
 from __future__ import annotations
@@ -59,11 +60,12 @@ def crm_cust_info(spark: SparkSession, base: str) -> DataFrame:
 
 
 def erp_cust_az12(spark: SparkSession, base: str) -> DataFrame:
-    """Demographics: prefixed keys, future and missing birth dates, gender spellings."""
+    """Demographics: prefixed and unknown keys, future and missing birth dates, gender spellings."""
     k = F.col("c_custkey")
     key = _customer_number(k, "AW")
-    return _read(spark, base, "customer").filter(k % 211 != 0).select(
-        F.when(k % 2 == 0, F.concat(F.lit("NAS"), key)).otherwise(key).alias("cid"),
+    return _read(spark, base, "customer").select(
+        F.when(k % 211 == 0, _customer_number(k, "XX"))
+        .when(k % 2 == 0, F.concat(F.lit("NAS"), key)).otherwise(key).alias("cid"),
         F.when(k % 300 == 0, F.lit("2050-06-15").cast("date"))
         .when(k % 97 != 0, F.date_add(F.lit("1930-01-01").cast("date"), (k * 17 % 22000).cast("int")))
         .alias("bdate"),
@@ -74,13 +76,13 @@ def erp_cust_az12(spark: SparkSession, base: str) -> DataFrame:
 
 
 def erp_loc_a101(spark: SparkSession, base: str) -> DataFrame:
-    """Locations: dashed keys, country codes, blanks and padded names. Nations are a fixed list."""
+    """Locations: dashed and unknown keys, country codes, blanks, padded names. Nations are a fixed list."""
     k, nation, name = F.col("c_custkey"), F.col("c_nationkey"), F.col("n_name")
-    rows = _read(spark, base, "customer").filter(k % 97 != 5).join(
+    rows = _read(spark, base, "customer").join(
         _read(spark, base, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return rows.select(
-        _customer_number(k, "AW-").alias("cid"),
+        F.when(k % 97 == 5, _customer_number(k, "XX-")).otherwise(_customer_number(k, "AW-")).alias("cid"),
         F.when(nation == 0, F.when(k % 2 == 0, "DE").otherwise(" DE "))
         .when(nation == 1, F.when(k % 2 == 0, "US").otherwise("USA"))
         .when(nation == 2, F.when(k % 3 == 0, "").when(k % 3 == 2, " "))
@@ -96,12 +98,12 @@ def _type_code(separator: str) -> Column:
 
 
 def erp_px_cat_g1v2(spark: SparkSession, base: str) -> DataFrame:
-    """One category per part type; PROMO parts have no category."""
+    """One category per part type; the one of PROMO has an id no product carries."""
     kind = F.col("p_type")
     category = F.initcap(F.lower(kind))
     return (
-        _read(spark, base, "part").filter(kind != "PROMO").select("p_type").distinct().select(
-            _type_code("_").alias("id"),
+        _read(spark, base, "part").select("p_type").distinct().select(
+            F.when(kind == "PROMO", "PR_XX").otherwise(_type_code("_")).alias("id"),
             category.alias("cat"),
             F.concat(category, F.when(kind == "LARGE", " Parts ").otherwise(" Parts")).alias("subcat"),
             F.when(F.length(kind) % 2 == 0, "Yes").otherwise("No").alias("maintenance"),
@@ -142,16 +144,19 @@ def _day_number(day: Column) -> Column:
 
 
 def crm_sales_details(spark: SparkSession, base: str) -> DataFrame:
-    """Order lines with their order: unsold parts, unknown keys, bad dates, wrong amounts.
+    """Order lines with their order: unknown keys, bad dates, wrong amounts.
+
+    Every tenth part goes unsold; its lines name the next part.
 
     The only join of two large tables in the library's input. It is on the order
     key, and a hot order is split by AQE on the line side.
     """
-    lines = _read(spark, base, "lineitem").filter(F.col("l_partkey") % 10 != 0).select(
+    lines = _read(spark, base, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     orders = _read(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    order, part, customer = F.col("o_orderkey"), F.col("l_partkey"), F.col("o_custkey")
+    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+    part = F.when(F.col("l_partkey") % 10 == 0, F.col("l_partkey") + 1).otherwise(F.col("l_partkey"))
     ordered = F.to_date("o_orderdate")
     quantity = F.col("l_quantity").cast("int")
     price = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int")
