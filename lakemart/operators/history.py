@@ -29,24 +29,53 @@ def latest_per_key(
     )
 
 
-def date_versions(df: DataFrame, key: str, start: str, row_id: str, end: str) -> DataFrame:
+def date_versions(
+    df: DataFrame, key: str, start: str, end: str, tie_break: Sequence[str] | None = None
+) -> DataFrame:
     """Set ``end`` to the day before the next version of the same key starts.
 
-    The last version stays open (NULL). Within a key only the last row of a
-    calendar day looks to another day; all others are followed by a row of their
-    own day. So the window runs over one row per key and day, found by an
-    ordinary aggregation, and is bounded by the calendar however many versions a
-    key has. ``row_id`` orders versions with equal start and must be unique.
+    The last version stays open (NULL). Versions with equal start are ordered by
+    ``tie_break``, by default all other columns.
+
+    Within a key only the last row of a calendar day looks to another day; all
+    others are followed by a row of their own day. So the window runs over one
+    row per key and day, found by an ordinary aggregation, and is bounded by the
+    calendar however many versions a key has. Identical rows are counted first
+    and written out again at the end: one of them is the last, the others are
+    followed by their own copy.
     """
-    position = F.struct(F.col(start).alias("at"), F.col(row_id).alias("row"))
+    rows = df.drop(end)
+    ties = tie_break if tie_break is not None else [c for c in rows.columns if c not in (key, start)]
+    position = F.struct(start, *ties, *(c for c in rows.columns if c not in (key, start, *ties)))
     day = F.col(start).cast("date")
-    days = df.groupBy(F.col(key).alias("_key"), day.alias("_day")).agg(
+
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
+    days = counted.groupBy(F.col(key).alias("_key"), day.alias("_day")).agg(
         F.max(position).alias("_last")
     )
     by_day = Window.partitionBy("_key").orderBy(F.col("_day").asc_nulls_last())
     days = days.withColumn("_next_day", F.lead("_day").over(by_day))
-    matched = df.join(
+
+    matched = counted.join(
         days, F.col(key).eqNullSafe(F.col("_key")) & day.eqNullSafe(F.col("_day")), "left"
     )
     follower = F.when(position.eqNullSafe(F.col("_last")), F.col("_next_day")).otherwise(day)
-    return matched.withColumn(end, F.date_sub(follower, 1)).drop("_key", "_day", "_last", "_next_day")
+    dated = matched.select(*rows.columns, F.date_sub(follower, 1).alias(end))
+    copies = repeat_rows(counted.withColumn("_copies", F.col("_copies") - 1), "_copies")
+    return dated.unionByName(copies.withColumn(end, F.date_sub(day, 1))).select(
+        *(c for c in df.columns if c != end), end
+    )
+
+
+def repeat_rows(df: DataFrame, times: str, at_once: int = 100_000) -> DataFrame:
+    """Each row ``times`` times. Long runs are cut into pieces that are spread over the tasks."""
+    pieces = df.filter(F.col(times) > 0).select(
+        *df.columns,
+        F.explode(F.sequence(F.lit(0), F.call_function("div", F.col(times) - 1, F.lit(at_once))))
+        .alias("_piece"),
+    )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = F.least(F.col(times) - F.col("_piece") * at_once, F.lit(at_once)).cast("int")
+    spread = pieces.withColumn("_size", size).repartition(tasks, "_piece", *df.columns)
+    kept = [c for c in df.columns if c != times]
+    return spread.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_size"))).alias("_n")).drop("_n")

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 MEASURE_TYPE = "decimal(20,2)"
 

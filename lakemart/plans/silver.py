@@ -26,7 +26,9 @@ def trim_and_name(raw: DataFrame) -> DataFrame:
 
 def products(raw: DataFrame) -> DataFrame:
     """Every version with its category id, short key, cost, line and validity."""
-    dated = date_versions(raw, "prd_key", "prd_start_dt", "prd_id", "prd_end_dt")
+    dated = date_versions(
+        raw, "prd_key", "prd_start_dt", "prd_end_dt", tie_break=["prd_id", "prd_nm", "prd_cost", "prd_line"]
+    )
     return dated.select(
         "prd_id",
         clean.category_id(F.col("prd_key")).alias("cat_id"),

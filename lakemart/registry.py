@@ -103,7 +103,7 @@ CLEANSING: dict[str, Plan] = {
     ),
     "c7_version_dates": lambda w: date_versions(
         w.raw(PRODUCTS).select("prd_id", "prd_key", "prd_start_dt"),
-        "prd_key", "prd_start_dt", "prd_id", "prd_end_dt",
+        "prd_key", "prd_start_dt", "prd_end_dt",
     ).select("prd_id", "prd_key", "prd_end_dt"),
     "c8_sales_dates": lambda w: w.raw(SALES).select("sls_ord_num", *(
         parse_yyyymmdd(F.col(c)).alias(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakemart.operators import checks
-from lakemart.operators.history import date_versions, latest_per_key
+from lakemart.operators.history import date_versions, latest_per_key, repeat_rows
 from lakemart.operators.keys import add_dense_key
 from lakemart.operators.measures import measure_rows
 from lakemart.operators.ranking import best_with_ties, first_rows
@@ -17,6 +17,11 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def _plain_versions(df):
+    window = Window.partitionBy("k").orderBy(F.col("start").asc_nulls_last(), "id")
+    return df.withColumn("end", F.date_sub(F.lead("start").over(window).cast("date"), 1))
+
+
 def test_date_versions_equals_plain_lead(spark):
     """Many versions of one key, several per day, missing starts and a missing key."""
     rng = random.Random(5)
@@ -26,10 +31,23 @@ def test_date_versions_equals_plain_lead(spark):
         start = dt.datetime(2020, 1, 1) + dt.timedelta(hours=rng.randrange(2400))
         rows.append((i, key, None if rng.random() < 0.01 else start))
     df = spark.createDataFrame(rows, "id int, k string, start timestamp_ntz").repartition(7)
-    window = Window.partitionBy("k").orderBy(F.col("start").asc_nulls_last(), "id")
-    plain = df.withColumn("end", F.date_sub(F.lead("start").over(window).cast("date"), 1))
-    # A missing start has no position of its own; both ways give it no end.
-    assert rows_of(date_versions(df, "k", "start", "id", "end")) == rows_of(plain)
+    assert rows_of(date_versions(df, "k", "start", "end")) == rows_of(_plain_versions(df))
+
+
+def test_date_versions_with_a_third_of_copies(spark):
+    at = dt.datetime
+    rows = [(i, f"k{i % 40}", at(2020, 1, 1 + i % 9)) for i in range(600)] + [(700, "k1", at(2020, 1, 4))] * 150
+    rows += [(701, "k2", at(2020, 3, 1))] * 150
+    df = spark.createDataFrame(rows, "id int, k string, start timestamp_ntz")
+    got = date_versions(df, "k", "start", "end")
+    assert rows_of(got) == rows_of(_plain_versions(df))
+    assert got.filter("k = 'k2' and end is null").count() == 1
+
+
+def test_repeat_rows_in_pieces(spark):
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 25), ("d", 10)], "k string, n bigint")
+    got = repeat_rows(df, "n", at_once=10).groupBy("k").count()
+    assert rows_of(got) == [("b", 1), ("c", 25), ("d", 10)]
 
 
 def test_latest_per_key_with_a_hot_key(spark):

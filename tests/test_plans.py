@@ -79,7 +79,7 @@ def test_duplicates_are_cut_before_the_shuffle(spark, warehouse):
 
 def test_version_window_runs_over_days(spark, warehouse):
     raw = RAW_TABLES["crm_prd_info"](spark, warehouse.base)
-    text = plan(date_versions(raw, "prd_key", "prd_start_dt", "prd_id", "prd_end_dt"))
+    text = plan(date_versions(raw, "prd_key", "prd_start_dt", "prd_end_dt"))
     below_window = text[text.index("Window ["):]
     assert "partial_max" in below_window
 
