@@ -66,6 +66,12 @@ def load_gold(
     })
 
 
+def publish_views(tables: Mapping[str, DataFrame], prefix: str = "gold_") -> None:
+    """Make tables readable in SQL for this session, as views under ``prefix``."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+
+
 def row_counts(tables: Mapping[str, DataFrame], layer: str) -> DataFrame:
     """Rows per table of any set of tables, as one result."""
     counts = [

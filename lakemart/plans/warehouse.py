@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -57,6 +58,10 @@ class Warehouse:
         application = self.spark.sparkContext.applicationId
         return f"{work_dir(self.spark)}/lakemart/{application}/{fingerprint(self.spark, self.base)}"
 
+    def new_folder(self) -> str:
+        """A folder of its own for files a query writes, next to the stored tables."""
+        return f"{self._folder}/runs/{uuid.uuid4().hex}"
+
     def _stored(self, table: str, plan: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self._folder}/{table}"
         with _lock:

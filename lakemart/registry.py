@@ -31,6 +31,8 @@ from lakemart.plans import (
     trends,
 )
 from lakemart.plans.warehouse import Warehouse
+from lakemart.sources.csv_files import read_csv, write_csv
+from lakemart.sources.layers import LayerStore, export
 
 Plan = Callable[[Warehouse], DataFrame]
 
@@ -52,7 +54,49 @@ def _row_counts(w: Warehouse) -> DataFrame:
     )
 
 
+def _csv_round_trip(table: str) -> Plan:
+    """Land a raw table as CSV and read it back strictly."""
+
+    def plan(w: Warehouse) -> DataFrame:
+        rows, path = w.raw(table), f"{w.new_folder()}/{table}"
+        write_csv(rows, path)
+        return read_csv(w.spark, path, rows.schema)
+
+    return plan
+
+
+def _load_audit(w: Warehouse) -> DataFrame:
+    """Load the clean layer and report the rows its audit has seen."""
+    store = LayerStore(w.spark, w.new_folder())
+    store.load("silver", w.clean_tables())
+    return store.row_counts("silver")
+
+
+def _published_reports(w: Warehouse) -> DataFrame:
+    """Read the reports as a SQL user does."""
+    pipeline.publish_views({"report_customers": w.report_customers, "report_products": w.report_products})
+    return w.spark.sql("""
+        SELECT 'customers' AS report, customer_segments AS segment, count(*) AS members, sum(total_sales) AS sales
+        FROM gold_report_customers GROUP BY customer_segments
+        UNION ALL
+        SELECT 'products', product_segment, count(*), sum(total_sales) FROM gold_report_products GROUP BY product_segment
+    """)
+
+
+def _exported_monthly(w: Warehouse) -> DataFrame:
+    """Hand the dashboard table over as files and read them as the other tool would."""
+    path = f"{w.new_folder()}/agg_sales_monthly"
+    table = insights.agg_sales_monthly(w.fact, w.products, w.settings.customer_rule)
+    export(table, "parquet", path)
+    return w.spark.read.schema(table.schema).parquet(path)
+
+
 LOADS: dict[str, Plan] = {
+    "s4_csv_customers": _csv_round_trip(CUSTOMERS),
+    "s4_csv_sales": _csv_round_trip(SALES),
+    "s8_load_audit": _load_audit,
+    "s10_published_reports": _published_reports,
+    "s14_exported_monthly": _exported_monthly,
     "s6_silver_customers": lambda w: w.clean(CUSTOMERS),
     "s6_silver_products": lambda w: w.clean(PRODUCTS),
     "s6_silver_sales": lambda w: w.clean(SALES),

@@ -37,6 +37,20 @@ def read_csv(
     return limit_text(rows)
 
 
+def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:
+    """Write in the form ``read_csv`` reads: header, blanks kept, NULL bare, empty text quoted."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("sep", delimiter)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def default_file(table: str) -> str:
     """``<system>_<entity>`` lies in ``source_<system>``; ERP exports have upper-case names."""
     system, entity = table.split("_", 1)
