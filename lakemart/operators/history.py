@@ -74,7 +74,8 @@ def repeat_rows(df: DataFrame, times: str, at_once: int = 100_000) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.call_function("div", F.col(times) - 1, F.lit(at_once))))
         .alias("_piece"),
     )
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A fixed number: AQE would merge the pieces again, they are small until they are repeated.
+    tasks = df.sparkSession.sparkContext.defaultParallelism
     size = F.least(F.col(times) - F.col("_piece") * at_once, F.lit(at_once)).cast("int")
     spread = pieces.withColumn("_size", size).repartition(tasks, "_piece", *df.columns)
     kept = [c for c in df.columns if c != times]
