@@ -56,7 +56,8 @@ def date_versions(
     by_day = Window.partitionBy("_key").orderBy(F.col("_day").asc_nulls_last())
     days = days.withColumn("_next_day", F.lead("_day").over(by_day))
 
-    matched = counted.join(
+    # The (always true) filter keeps the count in this branch, so that both read one shuffle.
+    matched = counted.filter(F.col("_copies") > 0).join(
         days, F.col(key).eqNullSafe(F.col("_key")) & day.eqNullSafe(F.col("_day")), "left"
     )
     follower = F.when(position.eqNullSafe(F.col("_last")), F.col("_next_day")).otherwise(day)
