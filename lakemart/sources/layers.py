@@ -87,10 +87,9 @@ class LayerStore:
                 table_began, table_clock = dt.datetime.now(dt.UTC), time.monotonic()
                 df = rows_or_plan(written) if callable(rows_or_plan) else rows_or_plan
                 seen = Observation()
-                df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(
-                    self.path(layer, table, load_id)
-                )
-                written[table] = self.read(layer, table, load_id)
+                path = self.path(layer, table, load_id)
+                df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+                written[table] = self.spark.read.schema(df.schema).parquet(path)
                 rows = seen.get["rows"]
                 total += rows
                 log.append((load_id, layer, table, rows, table_began, _since(table_clock), "written", None))
