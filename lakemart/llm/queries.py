@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import chat, mixing, sharding, tokens
+from lakemart.llm import chat, mixing, sharding, simhash, tokens
 from lakemart.llm.common import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -20,6 +20,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
