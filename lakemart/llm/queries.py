@@ -9,13 +9,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import chat, mixing, sharding, simhash, tokens
+from lakemart.llm import chat, mixing, sharding, simhash, substrings, tokens
 from lakemart.llm.common import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SHARDS = 8
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents"), window=20, with_text=False)
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(table(spark, sf_dir, "conversations"))
 
