@@ -74,12 +74,16 @@ def texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return ends, (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8))
 
 
-def pieces(column: pa.Array | pa.ChunkedArray, size: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, bounds) of pieces of whole texts; row i is bytes[bounds[i]:bounds[i + 1]]."""
+def pieces(column: pa.Array | pa.ChunkedArray, size: int = PIECE, most: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, bounds) of pieces of up to ``most`` whole texts.
+
+    Row i of a piece is bytes[bounds[i]:bounds[i + 1]].
+    """
     offsets, data = texts(column)
     first, rows = 0, len(offsets) - 1
     while first < rows:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1)
+        last = min(last, first + most)
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 
