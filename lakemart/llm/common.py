@@ -42,7 +42,7 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def with_row_key(df: DataFrame, name: str = "_row") -> DataFrame:
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a column that tells any two rows apart, repeated rows too.
 
     For a table read from files it is the file and the place in it, the same in

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm import arrays
-from lakemart.llm.common import ship, with_row_key
+from lakemart.llm.common import free_name, ship, with_row_key
 
 N = 4
 BITS = 14
@@ -129,8 +129,9 @@ def fit(docs: DataFrame, sample: int = 1600, landmarks: int = 96, lang: str = "l
     the ``sample`` most frequent languages can be learned.
     """
     ship(docs.sparkSession)
-    labelled = with_row_key(docs).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.col("_row").alias("row"), F.xxhash64(F.lit("sample"), F.col(text)).alias("digest")
+    row = free_name(docs, "_row")
+    labelled = with_row_key(docs, row).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(row).alias("row"), F.xxhash64(F.lit("sample"), F.col(text)).alias("digest")
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     # One row per different text; texts don't move here.
     slim = labelled.groupBy("lang", "digest").agg(F.min("row").alias("row"))
@@ -213,7 +214,7 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
 
 def with_known_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """``docs`` without those whose language can't be told: no letter, or a score below ``least``."""
-    named, scored = "_lang_pred", "_lang_score"
+    named, scored = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
     return predict(docs, fit(training_rows(docs)), name=named, score=scored).filter(
         (F.col(named) != UNKNOWN) & (F.col(scored) >= least)
     ).select(*docs.columns)

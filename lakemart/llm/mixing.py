@@ -17,15 +17,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import n_words, places, stored, with_row_key
+from lakemart.llm.common import free_name, n_words, places, stored, with_row_key
 
 #: Fraction bits of a rate; positions times a rate stay exact in 64 bits up to 2^38 documents a source.
 BITS = 24
 ONE = 1 << BITS
 #: No source is taken more often than this.
 MOST = 3
-#: Offsets drawn per source; the one that takes the number of words nearest to the target is used.
-DRAWS = 32
+#: Offsets tried per source, evenly spaced from a random one; the one that takes the number of words nearest to the target is used.
+DRAWS = 1 << 12
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0)) -> DataFrame:
@@ -67,24 +67,66 @@ def by_size(rows: DataFrame) -> DataFrame:
     return places(parts, "source", "_part", ["size", "digest"], "digest", "place").drop("_part")
 
 
-def copies(place: Column, n: Column, rate: Column, offset: Column) -> Column:
-    """How often the document at ``place`` of ``n`` is emitted.
+def _div(a: Column, b: Column | int) -> Column:
+    return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
 
-    The whole part of the rate is the same for all. For the rest, the places
-    are cut into strata in which one copy is expected, every other stratum is
-    turned round (the gaps at both ends then offset each other), and the
-    prefix sum in that order counts. Whole numbers only, so reruns agree.
-    """
+
+def _whole_and_part(rate: Column) -> tuple[Column, Column]:
+    """A rate as its whole part and the rest in units of 1 / ONE."""
     whole = F.floor(rate)
-    part = F.floor((rate - whole) * ONE + 0.5).cast("long")
-    div = lambda a, b: F.call_function("div", a, b)
+    return whole, F.floor((rate - whole) * ONE + 0.5).cast("long")
+
+
+def turned(place: Column, n: Column, part: Column) -> Column:
+    """The place in the order of the prefix sum.
+
+    The places are cut into strata in which one copy is expected, and every
+    other stratum is turned round: what one takes too much of long documents,
+    the next takes too little. Whole numbers only, so reruns agree.
+    """
     safe = F.greatest(part, F.lit(1))
-    stratum = div(place * part, F.lit(ONE))
-    first = div(stratum * ONE + safe - 1, safe)
-    last = F.least(div((stratum + 1) * ONE + safe - 1, safe), n) - 1
-    turned = F.when(stratum % 2 == 1, first + last - place).otherwise(place)
-    crossed = div((turned + 1) * part + offset, F.lit(ONE)) - div(turned * part + offset, F.lit(ONE))
-    return (whole + F.when(part > 0, crossed).otherwise(0)).cast("long")
+    stratum = _div(place * part, ONE)
+    first = _div(stratum * ONE + safe - 1, safe)
+    last = F.least(_div((stratum + 1) * ONE + safe - 1, safe), n) - 1
+    return F.when(stratum % 2 == 1, first + last - place).otherwise(place)
+
+
+def copies(place: Column, n: Column, rate: Column, offset: Column) -> Column:
+    """How often the document at ``place`` of ``n`` is emitted: the whole numbers that the prefix sum crosses at it."""
+    whole, part = _whole_and_part(rate)
+    before = turned(place, n, part) * part + offset
+    return (whole + _div(before + part, ONE) - _div(before, ONE)).cast("long")
+
+
+def best_offsets(placed: DataFrame) -> DataFrame:
+    """(drawn_for, settled): for each source the offset whose words taken are nearest to the target.
+
+    A document is crossed by the offsets of one interval, cyclically. So per
+    document two or three changes of the words taken are summed by offset, and
+    the running sum tells what each offset takes: no document is tried twice.
+    """
+    whole, part = _whole_and_part(F.col("rate"))
+    step = ONE // DRAWS
+    at = turned(F.col("place"), F.col("n_docs"), part) * part + F.col("offset")
+    start = F.pmod(F.lit(ONE) - part - at, F.lit(ONE))
+    first, end = _div(start + step - 1, step), _div(start + part + step - 1, step)
+    wraps = (end > DRAWS) & (first < DRAWS)
+    change = lambda draw, words: F.struct(draw.cast("long").alias("draw"), words.cast("long").alias("words"))
+    size = F.col("size")
+    changes = F.array(
+        change(F.lit(0), whole * size + F.when(wraps, size).otherwise(0)),
+        change(F.when(first < DRAWS, first).otherwise(0), size),
+        change(F.when(first < DRAWS, F.when(wraps, end - DRAWS).otherwise(end)).otherwise(end - DRAWS), -size),
+    )
+    summed = placed.select("source", "target", "offset", F.explode(changes).alias("c")).groupBy(
+        "source", "target", "offset", F.col("c.draw").alias("draw")
+    ).agg(F.sum("c.words").alias("words")).filter(F.col("draw") < DRAWS)
+    so_far = Window.partitionBy("source").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    taken = summed.withColumn("taken", F.sum("words").over(so_far))
+    nearest = F.min(F.struct(F.abs(F.col("taken") - F.col("target")), "draw", "offset"))
+    return taken.groupBy(F.col("source").alias("drawn_for")).agg(nearest.alias("best")).select(
+        "drawn_for", F.pmod(F.col("best.offset") + F.col("best.draw") * step, F.lit(ONE)).alias("settled")
+    )
 
 
 def plan_mix(docs: DataFrame, keep: Sequence[str], weights: Sequence[float] = (1.0, 2.0, 3.0), seed: int = 42,
@@ -106,21 +148,11 @@ def plan_mix(docs: DataFrame, keep: Sequence[str], weights: Sequence[float] = (1
     ).withColumn("offset", _random_offset(seed)).withColumnRenamed("source", "_of_source")
     joined = placed.join(rates, F.col("source").eqNullSafe(F.col("_of_source")))
 
-    def emitted(offset: Column) -> Column:
-        return copies(F.col("place"), F.col("n_docs"), F.col("rate"), offset)
-
-    drawn = [F.pmod(F.col("offset") + i * (ONE // DRAWS), F.lit(ONE)) for i in range(DRAWS)]
-    takes = joined.groupBy("source", "target").agg(
-        *(F.sum(emitted(u) * F.col("size")).alias(f"_take{i}") for i, u in enumerate(drawn))
-    )
-    off = [F.struct(F.abs(F.col(f"_take{i}") - F.col("target")).alias("off"), F.lit(i).alias("draw")) for i in range(DRAWS)]
-    best = takes.select(F.col("source").alias("_drawn_for"), F.least(*off)["draw"].alias("_draw"))
-    settled = rates.join(best, F.col("_of_source").eqNullSafe(F.col("_drawn_for"))).withColumn(
-        "offset", F.pmod(F.col("offset") + F.col("_draw") * (ONE // DRAWS), F.lit(ONE))
-    )
+    settled = rates.join(best_offsets(joined), F.col("_of_source").eqNullSafe(F.col("drawn_for")))
     final = placed.join(settled, F.col("source").eqNullSafe(F.col("_of_source")))
+    emitted = copies(F.col("place"), F.col("n_docs"), F.col("rate"), F.col("settled"))
     return final.select(
-        "kept.*", "size", F.col("source_size").cast("long").alias("source_size"), "target", emitted(F.col("offset")).alias("n_copies")
+        "kept.*", "size", F.col("source_size").cast("long").alias("source_size"), "target", emitted.alias("n_copies")
     ).withColumn("taken", F.col("n_copies") * F.col("size"))
 
 
@@ -135,12 +167,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), seed: int =
 
     Texts move once, in the join by the row's key. A copy is a row of its own.
     """
-    keyed = with_row_key(docs, "_mix_row")
-    plan = plan_mix(keyed, ["_mix_row"], weights, seed).filter("n_copies > 0")
-    plan = plan.select(F.col("_mix_row").alias("_plan_row"), "n_copies")
-    chosen = keyed.join(plan, F.col("_mix_row") == F.col("_plan_row"))
-    every = F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int")))
-    return chosen.select(*docs.columns, every.alias("_copy")).drop("_copy")
+    row, planned, times, copy = (free_name(docs, name) for name in ("_mix_row", "_plan_row", "_times", "_copy"))
+    keyed = with_row_key(docs, row)
+    plan = plan_mix(keyed, [row], weights, seed).filter("n_copies > 0")
+    plan = plan.select(F.col(row).alias(planned), F.col("n_copies").cast("int").alias(times))
+    chosen = keyed.join(plan, F.col(row) == F.col(planned))
+    return chosen.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy)).drop(copy)
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), seed: int = 42) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import arrays
-from lakemart.llm.common import ship, stored, with_row_key
+from lakemart.llm.common import free_name, ship, stored, with_row_key
 from lakemart.llm.components import components
 
 SEED = 42
@@ -229,11 +229,12 @@ def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFra
     Of repeated rows one stays. All columns are kept; only the fingerprints and
     the identities of rows move before the final join, in which a text moves once.
     """
-    keyed = with_row_key(docs, "_near_row")
-    slim = keyed.select("doc_id", "text", F.col("_near_row").alias("row"))
+    row, kept_row = free_name(docs, "_near_row"), free_name(docs, "_kept_row")
+    keyed = with_row_key(docs, row)
+    slim = keyed.select("doc_id", "text", F.col(row).alias("row"))
     prints = stored(fingerprints(slim, shingle), "prints")
     roots = classes(prints, radius)
     rooted = prints.join(roots, prints["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    kept = rooted.groupBy("root").agg(best.alias("best")).select(F.col("best.row").alias("_kept_row"))
-    return keyed.join(kept, F.col("_near_row") == F.col("_kept_row"), "left_semi").select(*docs.columns)
+    kept = rooted.groupBy("root").agg(best.alias("best")).select(F.col("best.row").alias(kept_row))
+    return keyed.join(kept, F.col(row) == F.col(kept_row), "left_semi").select(*docs.columns)

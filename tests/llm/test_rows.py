@@ -1,0 +1,376 @@
+"""Operators with a plain result per document: 1, 4, 6, 7, 9, 10, against brute force."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from lakemart.llm import mixing, quality, sharding, simhash, substrings, tokens
+from lakemart.llm.common import places
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def rows(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+def texts(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+
+
+# 1 ------------------------------------------------------------------------------------------------------------------
+
+
+def brute_substrings(documents, window=20):
+    last = 1 << 62
+    at, first = [], {}
+    for doc_id, text in documents:
+        w = words(text)
+        at.append((last if doc_id is None else doc_id, w))
+        for i in range(len(w) - window + 1):
+            key, place = tuple(w[i : i + window]), (at[-1][0], i)
+            first[key] = min(first.get(key, place), place)
+    out = []
+    for (doc_id, _), (order, w) in zip(documents, at, strict=True):
+        gone = np.zeros(len(w), dtype=bool)
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i : i + window])] < (order, i):
+                gone[i : i + window] = True
+        kept = [x for x, g in zip(w, gone, strict=True) if not g]
+        out.append((doc_id, len(w), int(gone.sum()), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+COLUMNS1 = ("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def test_substrings_awkward(awkward, nothing):
+    result = substrings.deduplicate(awkward)
+    assert rows(result, *COLUMNS1) == brute_substrings(texts(awkward))
+    assert all(hashlib.sha256(r["kept"].encode()).hexdigest() == r["kept_sha256"] for r in result.collect())
+    assert substrings.deduplicate(nothing).count() == 0
+
+
+def test_substrings_documents(documents):
+    assert rows(substrings.deduplicate(documents, with_text=False), *COLUMNS1) == brute_substrings(texts(documents))
+
+
+def test_substrings_short_windows_and_edits(spark):
+    """Passages cut, edited and joined in many ways, so that most windows lie at the boundaries of factors."""
+    import random
+
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(12)}" for _ in range(400)]
+    documents = []
+    for i in range(60):
+        lo = rng.randrange(300)
+        part = base[lo : lo + rng.randrange(5, 90)]
+        for _ in range(rng.randrange(4)):
+            part[rng.randrange(len(part))] = f"edit{rng.randrange(5)}"
+        documents.append((rng.randrange(40), " ".join(part + base[lo : lo + 30])))
+    docs = spark.createDataFrame(documents, "doc_id long, text string")
+    for window in (7, 12, 20):
+        assert rows(substrings.deduplicate(docs, window), *COLUMNS1) == brute_substrings(documents, window)
+
+
+# 4 ------------------------------------------------------------------------------------------------------------------
+
+
+def brute_fingerprint(text, shingle=3):
+    w = (text or "").encode().lower().split()
+    hashes = [xxhash.xxh64_intdigest(b" ".join(w[i : i + shingle]), 42) for i in range(max(1, len(w) - shingle + 1))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps, radius):
+    """The index of the first fingerprint that each one reaches."""
+    root = list(range(len(fps)))
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= radius and root[i] != root[j]:
+                keep, gone = sorted((root[i], root[j]))
+                root = [keep if r == gone else r for r in root]
+    return root
+
+
+def brute_simhash(documents, radius=2):
+    fps = [brute_fingerprint(t) for _, t in documents]
+    root = brute_components(fps, radius)
+    least = {}
+    for (doc_id, _), r in zip(documents, root, strict=True):
+        if doc_id is not None:
+            least[r] = min(least.get(r, doc_id), doc_id)
+    return sorted(((d, f"{f:016x}", least.get(r)) for (d, _), f, r in zip(documents, fps, root, strict=True)), key=repr)
+
+
+COLUMNS4 = ("doc_id", "fingerprint", "component_id")
+
+
+def test_simhash_awkward(awkward, nothing):
+    assert rows(simhash.simhash_components(awkward), *COLUMNS4) == brute_simhash(texts(awkward))
+    assert simhash.simhash_components(nothing).count() == 0
+
+
+def test_simhash_documents(documents):
+    assert rows(simhash.simhash_components(documents), *COLUMNS4) == brute_simhash(texts(documents))
+
+
+def test_simhash_keeps_one_per_group(awkward, nothing):
+    kept = simhash.one_per_group(awkward)
+    assert kept.columns == awkward.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    documents = texts(awkward)
+    root = brute_components([brute_fingerprint(t) for _, t in documents], 2)
+    least = {}
+    for (doc_id, _), r in zip(documents, root, strict=True):
+        least[r] = min(least.get(r, (True, 0)), (doc_id is None, doc_id or 0))
+    assert collections.Counter(ids) == collections.Counter(None if none else i for none, i in least.values())
+    assert simhash.one_per_group(nothing).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_links_in_crowded_blocks(spark, radius):
+    """Chains and clusters of fingerprints, in tiles far smaller than their block."""
+    rng = np.random.default_rng(radius)
+    fps = [int(rng.integers(1 << 62)) for _ in range(5)]
+    for _ in range(250):
+        fps.append(fps[rng.integers(len(fps))] ^ (1 << int(rng.integers(64))) ^ (1 << int(rng.integers(64))))
+    fps = sorted(set(fps))
+    signed = [int(np.uint64(f).view(np.int64)) for f in fps]
+    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), radius, tile=8)
+    from lakemart.llm.components import components
+
+    found = {r["node"]: r["root"] for r in components(edges).collect()}
+    groups, expected = collections.defaultdict(set), collections.defaultdict(set)
+    for f, r in zip(signed, brute_components(fps, radius), strict=True):
+        groups[found.get(f, f)].add(f)
+        expected[r].add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
+# 6 ------------------------------------------------------------------------------------------------------------------
+
+
+def brute_targets(sizes):
+    """Share by weight, cap at three times the size, share the excess again until nothing is above."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: 1.0 + i % 3 for i, s in enumerate(order)}
+    target, open_, left = {}, set(sizes), float(sum(sizes.values()))
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        above = [s for s in open_ if level * weight[s] > 3 * sizes[s]]
+        if not above:
+            return target | {s: level * weight[s] for s in open_}
+        for s in above:
+            target[s] = 3.0 * sizes[s]
+            left -= target[s]
+            open_.discard(s)
+    return target
+
+
+def check_mix(docs):
+    result = mixing.mixed_documents(docs)
+    per_source = collections.Counter()
+    sources, longest = collections.Counter(), collections.Counter()
+    for r in docs.select("text", "source").collect():
+        sources[r["source"]] += len(words(r["text"]))
+        longest[r["source"]] = max(longest[r["source"]], len(words(r["text"])))
+    target = brute_targets(dict(sources))
+    by_size = {}
+    for r in docs.select("doc_id", "text", "source").collect():
+        by_size.setdefault((r["doc_id"], len(words(r["text"]))), []).append(r["source"])
+    found = result.collect()
+    assert len(found) == docs.count()
+    for r in found:
+        source = next(s for s in by_size[r["doc_id"], r["size"]] if sources[s] == r["source_size"])
+        assert r["target"] == pytest.approx(target[source])
+        assert r["taken"] == r["n_copies"] * r["size"] and 0 <= r["n_copies"] <= 3
+        per_source[source] += r["taken"]
+    for s in sources:
+        assert abs(per_source[s] - target[s]) <= longest[s] / 2 + 1
+    again = mixing.mixed_documents(docs.repartition(3))
+    return result, again
+
+
+def test_mix_awkward(awkward, nothing):
+    check_mix(awkward)
+    assert mixing.mixed_documents(nothing).count() == 0 and mixing.mix(nothing).count() == 0
+
+
+def test_mix_documents(documents):
+    result, again = check_mix(documents)
+    assert rows(result, *result.columns) == rows(again, *result.columns)
+
+
+def test_mix_emits_the_planned_copies(awkward):
+    planned = collections.Counter()
+    for r in mixing.mixed_documents(awkward).collect():
+        planned[r["doc_id"], r["size"]] += r["n_copies"]
+    mixed = mixing.mix(awkward)
+    assert mixed.columns == awkward.columns
+    emitted = collections.Counter((r["doc_id"], len(words(r["text"]))) for r in mixed.collect())
+    assert +planned == emitted
+
+
+def test_best_offset_is_the_best(spark):
+    rng = np.random.default_rng(3)
+    for rate in (0.13, 0.5, 0.77, 1.0, 1.4, 2.9, 3.0):
+        sizes = sorted(int(x) for x in rng.integers(1, 2000, 40))
+        rows_ = [("s", i, s, 40, rate, rate * sum(sizes), 12345) for i, s in enumerate(sizes)]
+        placed = spark.createDataFrame(rows_, "source string, place long, size long, n_docs long, rate double, target double, offset long")
+        settled = mixing.best_offsets(placed).first()["settled"]
+
+        def taken(offset):
+            out = placed.select(F.sum(mixing.copies(F.col("place"), F.col("n_docs"), F.col("rate"), F.lit(offset)) * F.col("size"))).first()[0]
+            return abs(out - rate * sum(sizes))
+
+        step = mixing.ONE // mixing.DRAWS
+        some = [(12345 + i * step) % mixing.ONE for i in range(0, mixing.DRAWS, 331)]
+        assert taken(settled) <= min(map(taken, some)) + 1e-6
+
+
+# 7 ------------------------------------------------------------------------------------------------------------------
+
+
+def brute_measures(text):
+    w = words(text)
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    counts = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    covered = {i + k for i in range(len(w) - 2) if counts[tuple(w[i : i + 3])] > 1 for k in range(3)}
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(covered), failed
+
+
+@pytest.mark.parametrize("which", ["awkward", "documents"])
+def test_quality_measures(which, request, spark):
+    docs = request.getfixturevalue(which)
+    labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (None, 1, 1), (4, None, None), (99, 0, 0)], "doc_id long, quality int, toxic int")
+    result = quality.judged(docs, labels)
+    expected = sorted(((d, *brute_measures(t)) for d, t in texts(docs)), key=repr)
+    assert rows(result, "doc_id", *quality.MEASURES, "base_failed") == expected
+    # Too few labels to show anything: the base rules alone decide.
+    assert all(r["kept"] != r["base_failed"] for r in result.collect())
+
+
+def test_quality_empty(nothing, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.judged(nothing, labels).count() == 0
+
+
+def test_binomial_bound():
+    """As many rejections as the exact test allows, and not one more."""
+    from math import comb
+
+    for n, risk, error in ((100, 0.05, 0.05), (500, 0.01, 0.01), (40, 0.02, 0.05), (2000, 0.005, 1e-4)):
+        exact = [sum(comb(n, j) * risk**j * (1 - risk) ** (n - j) for j in range(k + 1)) for k in range(12)]
+        allowed = quality.most_rejected(n, risk, error)
+        assert allowed == max([-1, *(k for k, p in enumerate(exact) if p <= error)])
+
+
+def test_cutoffs_per_stratum(spark):
+    """A stratum with good documents of many symbols gets a lenient cutoff, one with few labels none."""
+    clean = [("a", 10, 0, 0, 5000)] * 3000
+    noisy = [("b", 10 if i % 10 else 90, 0, 0, 5000) for i in range(3000)]
+    few = [("c", 0, 0, 0, 0)] * 10
+    holdout = spark.createDataFrame(clean + noisy + few, "stratum string, symbols long, repeats long, lines long, length long")
+    found = {r["stratum"]: r for r in quality.cutoffs(holdout).collect()}
+    assert (found["a"]["cut_symbols"], found["b"]["cut_symbols"], found["c"]["cut_symbols"]) == (20, 100, None)
+
+
+# 9 ------------------------------------------------------------------------------------------------------------------
+
+
+def check_shards(docs):
+    found = sharding.shard_documents(docs, [1.0] * 8).collect()
+    plain = [((t or "").encode(), d) for d, t in texts(docs)]
+    assert sorted((repr(r["doc_id"]), r["size"], r["text_crc32"]) for r in found) == sorted((repr(d), len(b) + 1, zlib.crc32(b)) for b, d in plain)
+    slots, shard = collections.defaultdict(list), {}
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+        assert shard.setdefault(r["doc_id"], (r["shard"], r["grown_shard"])) == (r["shard"], r["grown_shard"])
+        assert r["grown_shard"] in (r["shard"], 8) and 0 <= r["shard"] < 8 and r["law"] == "key"
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_shards(awkward, documents, nothing):
+    check_shards(awkward)
+    check_shards(documents)
+    assert sharding.shard_documents(nothing, [1.0] * 8).count() == 0
+
+
+def test_shards_by_weight(spark):
+    keys = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    counts = {r["shard"]: r["count"] for r in sharding.assign_shards(keys, [1.0, 2.0, 5.0]).groupBy("shard").count().collect()}
+    assert [round(counts[i] / 20_000, 2) for i in range(3)] == pytest.approx([0.125, 0.25, 0.625], abs=0.02)
+    with pytest.raises(ValueError):
+        sharding.rendezvous(F.lit(1), [1.0, 0.0])
+
+
+def test_sharded_keeps_columns(awkward):
+    result = sharding.sharded(awkward, [1.0] * 8)
+    assert result.columns[: len(awkward.columns)] == awkward.columns and result.columns[-2:] == ["shard_", "grown_shard_"]
+    assert result.count() == awkward.count()
+
+
+def test_places_of_a_crowded_group(spark):
+    """Most rows share one key: they are dealt out, and the numbers still have no gap."""
+    rows_ = spark.range(1000).selectExpr("'g' AS grp", "CAST(id % 7 AS bigint) AS part", "IF(id % 7 < 5, 'often', CAST(id AS string)) AS same")
+    numbered = places(rows_, "grp", "part", ["same"], "same", "nth", heavy=100).collect()
+    assert sorted(r["nth"] for r in numbered) == list(range(1000))
+    assert [r["part"] for r in sorted(numbered, key=lambda r: r["nth"])] == sorted(r["part"] for r in numbered)
+
+
+# 10 -----------------------------------------------------------------------------------------------------------------
+
+PIECES = [bytes([b]) for b in range(256)] + [b" th", b" the", b"abcd", b"abcdx", b"bc", b"bcd", b"cde", b" xa", b"aa", b"aaaa", b" a", "é".encode(), b"ed"]
+
+
+def greedy(word, vocabulary):
+    rest, count = b" " + word, 0
+    while rest:
+        rest = rest[max(n for n in range(1, len(rest) + 1) if rest[:n] in vocabulary) :]
+        count += 1
+    return count
+
+
+def brute_tokens(docs, entries):
+    vocabulary = set(entries)
+    known = {}
+    for _, t in docs:
+        for w in (t or "").encode().split():
+            if w not in known:
+                known[w] = greedy(w, vocabulary) if len(w) < 1000 else None
+    return known
+
+
+def test_tokens(awkward, nothing, spark):
+    import random
+
+    rng = random.Random(5)
+    made = [(i, " ".join("".join(rng.choice("abcdex thé") for _ in range(rng.randrange(30))) for _ in range(20))) for i in range(50)]
+    docs = spark.createDataFrame(made, "doc_id long, text string").union(awkward.select("doc_id", "text").filter("length(text) < 200000 OR text IS NULL"))
+    known = brute_tokens(texts(docs), PIECES)
+    expected = sorted(((d, len((t or "").encode().split()), sum(known[w] for w in (t or "").encode().split())) for d, t in texts(docs)), key=repr)
+    assert rows(tokens.token_counts(docs, PIECES), "doc_id", "n_words", "n_tokens") == expected
+    long = {r["doc_id"]: r for r in tokens.token_counts(awkward.filter("doc_id = 9"), PIECES).collect()}[9]
+    assert (long["n_words"], long["n_tokens"]) == (1, 300_001)
+    assert tokens.token_counts(nothing, PIECES).count() == 0
+
+
+def test_tokens_need_every_byte():
+    with pytest.raises(ValueError):
+        tokens.build([b"a", b"ab"])
