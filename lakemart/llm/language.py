@@ -71,7 +71,8 @@ def presence(column: pa.Array, n: int = N) -> Iterator[tuple[int, int, np.ndarra
             # The hash of the n-gram that ends at each character.
             gram = np.concatenate([np.zeros(1, dtype=np.uint64), gram[:-1]]) * np.uint64(0x100000001B3) + codes + np.uint64(size)
             hashed = (arrays.mix(gram) >> np.uint64(64 - BITS)).astype(np.int64)
-            inside = slice(None) if size == 1 else np.concatenate([np.zeros(size - 1, dtype=bool), row[size - 1 :] == row[: 1 - size]])
+            inside = np.zeros(len(row), dtype=bool)
+            inside[size - 1 :] = row[size - 1 :] == row[: max(0, len(row) - size + 1)]
             bits[row[inside], hashed[inside]] = 1
         yield lo, hi, bits, has_letter
 
