@@ -5,33 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.session import work_dir
+from lakemart.sources.files import scratch_folder
 
 
 def add_dense_key(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """Number the rows 1, 2, 3, … in the given order, without one task sorting all of them.
 
-    Rows are range-partitioned and sorted inside their partition, then
-    checkpointed so that the numbering and the partition counts see the same
-    split even if executors are lost. A row's number is its place in its
-    partition plus the sizes of the partitions before; the latter is a table of
-    one row per partition, the only thing broadcast.
+    Rows are range-partitioned, sorted inside their partition and written once,
+    with partition number and place. The files are read for the partition
+    counts and for the result, so both see the same split even if executors are
+    lost. A row's number is its place in its partition plus the sizes of the
+    partitions before; the latter is a table of one row per partition, the only
+    thing broadcast. The files go when the enclosing ``scratch_space`` ends.
 
     ``order`` should identify a row, else the order of equal rows is open.
     """
-    work_dir(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .checkpoint()
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
+    spark = df.sparkSession
     # The id holds the partition number above 33 bits for the place inside it.
-    placed = placed.select(
-        F.shiftright("_place", 33).alias("_part"),
-        F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"),
-        *df.columns,
+    place = F.monotonically_increasing_id()
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.shiftright(place, 33).alias("_part"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"), *df.columns
     )
+    folder = scratch_folder(spark)
+    placed.write.parquet(folder)
+    placed = spark.read.schema(placed.schema).parquet(folder)
     before = Window.orderBy("_first_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(F.col("_part").alias("_first_part"))

@@ -24,10 +24,10 @@ def create_layers(spark: SparkSession) -> None:
 
 
 def load_bronze(
-    spark: SparkSession, source: str, store: LayerStore, files: Mapping[str, str] | None = None
+    spark: SparkSession, source: str, store: LayerStore, files: Mapping[str, str] | None = None, **options: str | bool
 ) -> str:
-    """Land the six exports as they are."""
-    return store.load("bronze", read_exports(spark, source, files))
+    """Land the six exports as they are; ``options`` (delimiter, multi_line, null_text) tell how they are written."""
+    return store.load("bronze", read_exports(spark, source, files, **options))
 
 
 def load_silver(store: LayerStore, as_of: dt.date, on_invalid: str = "error") -> str:
@@ -52,10 +52,14 @@ def load_gold(
     """
     clean = store.read_all("silver", tuple(SILVER))
     return store.load("gold", {
-        "dim_customers": gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"]),
-        "dim_products": gold.dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"]),
-        "fact_sales": lambda done: gold.fact_sales(
-            clean["crm_sales_details"], done["dim_products"], done["dim_customers"]
+        "dim_customers": lambda done: conform(
+            gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"]), GOLD["dim_customers"]
+        ),
+        "dim_products": lambda done: conform(
+            gold.dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"]), GOLD["dim_products"]
+        ),
+        "fact_sales": lambda done: conform(
+            gold.fact_sales(clean["crm_sales_details"], done["dim_products"], done["dim_customers"]), GOLD["fact_sales"]
         ),
         "report_customers": lambda done: reports.report_customers(
             done["fact_sales"], done["dim_customers"], as_of, customer_rule

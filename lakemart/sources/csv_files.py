@@ -16,11 +16,12 @@ _NO_NULL_TEXT = "\u0000"
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",",
-    multi_line: bool = False,
+    multi_line: bool = False, null_text: str = _NO_NULL_TEXT,
 ) -> DataFrame:
-    """Read one export strictly: header skipped, any bad row fails the job.
+    """Read one export strictly: header skipped, any bad row fails the job, whichever columns are read.
 
     Files stay splittable unless ``multi_line`` is needed for quoted line breaks.
+    ``null_text`` is what stands for NULL besides an empty field without quotes.
     """
     rows = (
         spark.read.schema(schema)
@@ -29,9 +30,10 @@ def read_csv(
         .option("sep", delimiter)
         .option("quote", '"')
         .option("escape", '"')
-        .option("nullValue", _NO_NULL_TEXT)
+        .option("nullValue", null_text)
         .option("mode", "FAILFAST")
         .option("multiLine", multi_line)
+        .option("columnPruning", False)
         .csv(path)
     )
     return limit_text(rows)
@@ -59,11 +61,11 @@ def default_file(table: str) -> str:
 
 def read_exports(
     spark: SparkSession, base: str, files: Mapping[str, str] | None = None,
-    tables: tuple[str, ...] = tuple(BRONZE),
+    tables: tuple[str, ...] = tuple(BRONZE), **options: str | bool,
 ) -> dict[str, DataFrame]:
-    """The raw tables below ``base`` (any file system Spark reads)."""
+    """The raw tables below ``base`` (any file system Spark reads); ``options`` are those of ``read_csv``."""
     files = files or {}
     return {
-        table: read_csv(spark, f"{base.rstrip('/')}/{files.get(table, default_file(table))}", BRONZE[table])
+        table: read_csv(spark, f"{base.rstrip('/')}/{files.get(table, default_file(table))}", BRONZE[table], **options)
         for table in tables
     }

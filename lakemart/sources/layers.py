@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from lakemart.sources.files import children, delete, scratch_space
+
 AUDIT = T.StructType([
     T.StructField("load_id", T.StringType()),
     T.StructField("layer", T.StringType()),
@@ -28,6 +30,7 @@ AUDIT = T.StructType([
     T.StructField("seconds", T.DecimalType(12, 2)),
     T.StructField("status", T.StringType()),  # written, loaded, failed
     T.StructField("message", T.StringType()),
+    T.StructField("logged_at", T.TimestampType()),  # of a row that says loaded: the commit
 ])
 
 
@@ -51,14 +54,16 @@ class LayerStore:
         """Every table and load ever attempted, with rows, seconds and outcome."""
         try:
             return self.spark.read.schema(AUDIT).parquet(self._audit_path())
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], AUDIT)
 
     def current_load(self, layer: str) -> str:
         done = self.audit().filter(
             (F.col("layer") == layer) & F.col("table_name").isNull() & (F.col("status") == "loaded")
         )
-        latest = done.agg(F.max_by("load_id", "started_at")).first()[0]
+        latest = done.agg(F.max_by("load_id", F.struct("logged_at", "load_id"))).first()[0]
         if latest is None:
             raise LookupError(f"layer {layer} was never loaded")
         return latest
@@ -85,16 +90,17 @@ class LayerStore:
         try:
             for table, rows_or_plan in tables.items():
                 table_began, table_clock = dt.datetime.now(dt.UTC), time.monotonic()
-                df = rows_or_plan(written) if callable(rows_or_plan) else rows_or_plan
                 seen = Observation()
                 path = self.path(layer, table, load_id)
-                df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+                with scratch_space(self.spark):
+                    df = rows_or_plan(written) if callable(rows_or_plan) else rows_or_plan
+                    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
                 written[table] = self.spark.read.schema(df.schema).parquet(path)
                 rows = seen.get["rows"]
                 total += rows
                 log.append((load_id, layer, table, rows, table_began, _since(table_clock), "written", None))
         except Exception as error:
-            log.append((load_id, layer, table, None, began, _since(clock), "failed", str(error)[:2000]))
+            log.append((load_id, layer, table, None, began, _since(clock), "failed", str(error)))
             self._append(log)
             raise
         log.append((load_id, layer, None, total, began, _since(clock), "loaded", None))
@@ -102,7 +108,8 @@ class LayerStore:
         return load_id
 
     def _append(self, log: list[tuple]) -> None:
-        self.spark.createDataFrame(log, AUDIT).coalesce(1).write.mode("append").parquet(self._audit_path())
+        now = dt.datetime.now(dt.UTC)
+        self.spark.createDataFrame([(*row, now) for row in log], AUDIT).coalesce(1).write.mode("append").parquet(self._audit_path())
 
     def row_counts(self, layer: str) -> DataFrame:
         """Rows per table of the current load, from the audit; no table is read again."""
@@ -112,14 +119,35 @@ class LayerStore:
         ).select("layer", "table_name", "rows")
 
     def register(self, layer: str, tables: tuple[str, ...]) -> None:
-        """Make the current load readable as ``layer.table`` in the catalog."""
+        """Make the current load readable as ``layer.table`` in the catalog.
+
+        Each is a view over the files of the load, replaced in one statement:
+        readers see the old load or the new one.
+        """
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
         load_id = self.current_load(layer)
         for table in tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
-            self.spark.catalog.createTable(
-                f"{layer}.{table}", path=self.path(layer, table, load_id), source="parquet"
-            )
+            path = self.path(layer, table, load_id)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT * FROM parquet.`{path}`")
+
+    def reclaim(self, layer: str, keep: int = 1) -> list[str]:
+        """Remove the files of all loads of a layer but the last ``keep`` committed ones; returns what went.
+
+        The audit stays. Not to be run while a load of the layer is going on or
+        a replaced load is still being read.
+        """
+        committed = self.audit().filter(
+            (F.col("layer") == layer) & F.col("table_name").isNull() & (F.col("status") == "loaded")
+        )
+        stay = {r["load_id"] for r in committed.orderBy(F.desc("logged_at"), F.desc("load_id")).limit(keep).collect()}
+        gone = []
+        base = f"{self.base.rstrip('/')}/{layer}"
+        for table in children(self.spark, base):
+            for load_id in children(self.spark, f"{base}/{table}"):
+                if load_id not in stay:
+                    delete(self.spark, f"{base}/{table}/{load_id}")
+                    gone.append(f"{table}/{load_id}")
+        return gone
 
 
 def _since(clock: float) -> Decimal:

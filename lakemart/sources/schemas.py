@@ -88,14 +88,18 @@ def conform(df: DataFrame, schema: T.StructType, optional: tuple[str, ...] = ())
 
 
 def limit_text(df: DataFrame, longest: int = MAX_TEXT) -> DataFrame:
-    """Fail the job on text longer than the declared length, in the same pass as the load."""
-    columns = []
-    for field in df.schema.fields:
-        value = F.col(field.name)
-        if isinstance(field.dataType, T.StringType):
-            too_long = F.raise_error(
-                F.concat(F.lit(f"{field.name} is longer than {longest} characters: "), value)
-            )
-            value = F.when(F.length(value) > longest, too_long).otherwise(value).alias(field.name)
-        columns.append(value)
-    return df.select(*columns)
+    """Fail the job on text longer than the declared length, in the same pass as the load.
+
+    Blanks beyond the length are cut. The test is a filter over all text
+    columns, so it runs whichever of them are read later.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not texts:
+        return df
+    fits = F.lit(True)
+    for name in texts:
+        value = F.col(name)
+        fault = F.raise_error(F.concat(F.lit(f"{name} is longer than {longest} characters: "), value)).cast("boolean")
+        fits = F.when(F.length(F.rtrim(value)) > longest, fault).otherwise(fits)
+    cut = {name: F.substring(name, 1, longest) for name in texts}
+    return df.filter(fits).withColumns(cut)

@@ -144,6 +144,73 @@ def test_long_text_fails(spark):
     assert limit_text(df, 51).count() == 2
 
 
+def test_blanks_beyond_the_length_are_cut(spark):
+    df = spark.createDataFrame([("DE" + " " * 60,), ("x" * 50 + "  ",), (" a ",)], "name string")
+    assert sorted(r[0] for r in limit_text(df).collect()) == sorted(["DE" + " " * 48, "x" * 50, " a "])
+
+
+def test_faults_in_unread_columns_fail(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("id int, a string, b string, c string")
+    (tmp_path / "short.csv").write_text("ID,A,B,C\n1,x,y,z\n2,x,y\n")
+    (tmp_path / "long.csv").write_text(f"ID,A,B,C\n1,x,y,{'z' * 51}\n")
+    for name in ("short.csv", "long.csv"):
+        with pytest.raises(Exception):
+            read_csv(spark, str(tmp_path / name), schema).select("id").collect()
+
+
+def test_exports_in_another_dialect(spark, tmp_path, store):
+    """Semicolons, quoted line breaks and a word for NULL."""
+    for table, text in FILES.items():
+        path = tmp_path / "dialect" / default_file(table)
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text.replace(",", ";").replace("Road Bikes", '"Road\nBikes"').replace("No;Body", "NUL;Body"))
+    pipeline.load_bronze(spark, str(tmp_path / "dialect"), store, delimiter=";", multi_line=True, null_text="NUL")
+    assert store.read("bronze", "erp_px_cat_g1v2").first()["subcat"] == "Road\nBikes"
+    assert store.read("bronze", "crm_cust_info").filter("cst_firstname IS NULL").count() == 1
+    assert store.read("bronze", "crm_sales_details").count() == 3
+
+
+def test_failure_message_is_whole(spark, store):
+    long = "x" * 3000
+    with pytest.raises(Exception):
+        store.load("silver", {"t": spark.range(1).select(F.raise_error(F.lit(long)).cast("int").alias("a"))})
+    assert long in store.audit().filter("status = 'failed'").first()["message"]
+
+
+def test_reclaim_keeps_the_last_load(spark, store):
+    loads = [store.load("silver", {"t": spark.range(n)}) for n in (1, 2, 3)]
+    with pytest.raises(Exception):
+        store.load("silver", {"t": spark.range(9), "u": spark.range(1).select(F.raise_error(F.lit("no")).cast("int").alias("a"))})
+    assert len(store.reclaim("silver", keep=2)) >= 2
+    assert store.read("silver", "t", loads[1]).count() == 2
+    assert store.reclaim("silver") == [f"t/{loads[1]}"] and store.reclaim("silver") == []
+    assert store.current_load("silver") == loads[2] and store.read("silver", "t").count() == 3
+
+
+def test_load_that_commits_last_is_current(spark, store):
+    """A load that began first, but ended after another one."""
+    inner = []
+
+    def slow(written):
+        inner.append(store.load("silver", {"t": spark.range(1)}))
+        return spark.range(2)
+
+    outer = store.load("silver", {"t": slow})
+    assert inner and store.current_load("silver") == outer
+
+
+def test_gold_keeps_its_contract(spark, source, store, monkeypatch):
+    from lakemart.plans import gold
+
+    pipeline.load_bronze(spark, str(source), store)
+    pipeline.load_silver(store, D(2021, 1, 1))
+    monkeypatch.setattr(gold, "fact_sales", lambda *tables: spark.range(1))
+    with pytest.raises(ValueError, match="missing"):
+        pipeline.load_gold(store, D(2021, 1, 1))
+
+
 def test_conform(spark):
     df = spark.createDataFrame([(1, "a")], "id bigint, name string")
     with pytest.raises(ValueError, match="missing"):
