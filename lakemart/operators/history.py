@@ -39,45 +39,42 @@ def date_versions(
 
     Within a key only the last row of a calendar day looks to another day; all
     others are followed by a row of their own day. So the window runs over one
-    row per key and day, found by an ordinary aggregation, and is bounded by the
-    calendar however many versions a key has. Identical rows are counted first
-    and written out again at the end: one of them is the last, the others are
-    followed by their own copy.
+    row per key and day, which an ordinary aggregation finds together with all
+    its columns, and is bounded by the calendar however many versions a key has.
+    That row is written out from there. Taken off the input as a row with count
+    -1, it leaves the others, identical ones as one row with a count.
     """
     rows = df.drop(end)
     ties = tie_break if tie_break is not None else [c for c in rows.columns if c not in (key, start)]
     position = F.struct(start, *ties, *(c for c in rows.columns if c not in (key, start, *ties)))
     day = F.col(start).cast("date")
 
-    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    days = counted.groupBy(F.col(key).alias("_key"), day.alias("_day")).agg(
-        F.max(position).alias("_last")
-    )
+    days = rows.groupBy(F.col(key).alias("_key"), day.alias("_day")).agg(F.max(position).alias("_last"))
     by_day = Window.partitionBy("_key").orderBy(F.col("_day").asc_nulls_last())
-    days = days.withColumn("_next_day", F.lead("_day").over(by_day))
-
-    # The (always true) filter keeps the count in this branch, so that both read one shuffle.
-    matched = counted.filter(F.col("_copies") > 0).join(
-        days, F.col(key).eqNullSafe(F.col("_key")) & day.eqNullSafe(F.col("_day")), "left"
-    )
-    follower = F.when(position.eqNullSafe(F.col("_last")), F.col("_next_day")).otherwise(day)
-    dated = matched.select(*rows.columns, F.date_sub(follower, 1).alias(end))
-    copies = repeat_rows(counted.withColumn("_copies", F.col("_copies") - 1), "_copies")
-    return dated.unionByName(copies.withColumn(end, F.date_sub(day, 1))).select(
-        *(c for c in df.columns if c != end), end
+    last = days.withColumn(end, F.date_sub(F.lead("_day").over(by_day), 1)).select(
+        *((F.col("_key") if c == key else F.col("_last")[c]).alias(c) for c in rows.columns), end
     )
+    counted = rows.withColumn("_copies", F.lit(1)).unionByName(
+        last.select(*rows.columns, F.lit(-1).alias("_copies"))
+    ).groupBy(*rows.columns).agg(F.sum("_copies").alias("_copies"))
+    others = repeat_rows(counted, "_copies").withColumn(end, F.date_sub(day, 1))
+    return last.unionByName(others).select(*(c for c in df.columns if c != end), end)
 
 
 def repeat_rows(df: DataFrame, times: str, at_once: int = 100_000) -> DataFrame:
-    """Each row ``times`` times. Long runs are cut into pieces that are spread over the tasks."""
-    pieces = df.filter(F.col(times) > 0).select(
+    """Each row ``times`` times. Rows repeated more than ``at_once`` times are cut into pieces that are dealt out."""
+    kept = [c for c in df.columns if c != times]
+
+    def written(rows: DataFrame, number: str) -> DataFrame:
+        return rows.select(*kept, F.explode(F.sequence(F.lit(1), F.col(number).cast("int"))).alias("_n")).drop("_n")
+
+    few = df.filter(F.col(times).between(1, at_once))
+    many = df.filter(F.col(times) > at_once).select(
         *df.columns,
-        F.explode(F.sequence(F.lit(0), F.call_function("div", F.col(times) - 1, F.lit(at_once))))
-        .alias("_piece"),
+        F.explode(F.sequence(F.lit(0), F.call_function("div", F.col(times) - 1, F.lit(at_once)))).alias("_piece"),
     )
-    # A fixed number: AQE would merge the pieces again, they are small until they are repeated.
-    tasks = df.sparkSession.sparkContext.defaultParallelism
     size = F.least(F.col(times) - F.col("_piece") * at_once, F.lit(at_once)).cast("int")
-    spread = pieces.withColumn("_size", size).repartition(tasks, "_piece", *df.columns)
-    kept = [c for c in df.columns if c != times]
-    return spread.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_size"))).alias("_n")).drop("_n")
+    # As many tasks as any shuffle has: AQE would merge the pieces, which are small until they are repeated.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = many.withColumn("_size", size).repartition(tasks, "_piece", *df.columns)
+    return written(few, times).unionByName(written(spread, "_size"))

@@ -84,6 +84,31 @@ def test_version_window_runs_over_days(spark, warehouse):
     assert "partial_max" in below_window
 
 
+def test_versions_are_dated_without_a_join(spark, warehouse, no_broadcast):
+    raw = RAW_TABLES["crm_prd_info"](spark, warehouse.base)
+    text = plan(date_versions(raw, "prd_key", "prd_start_dt", "prd_end_dt"), settled=True)
+    assert "Join" not in text
+    written = [line for line in text.splitlines() if "Exchange" in line and "Reused" not in line]
+    assert len(written) <= 5
+
+
+@pytest.mark.parametrize("name", ["a8_category_reach", "i10_agg_sales_monthly", "q12_missing_references"])
+def test_lines_are_reduced_before_the_category(name, warehouse, no_broadcast):
+    """Below every join with a dimension the lines are aggregated."""
+    text = plan(PLANS[name](warehouse))
+    lines = text.splitlines()
+    for scan in (i for i, line in enumerate(lines) if "FileScan" in line and "fact_sales" in line):
+        depth = lines[scan].index("FileScan")
+        above = []  # from the scan to the top
+        for line in reversed(lines[:scan]):
+            at = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+            if at < depth:
+                above.append(line)
+                depth = at
+        first = next(line for line in above if "Join" in line or "Aggregate" in line)
+        assert "Aggregate" in first, name
+
+
 def test_both_customer_joins_use_one_shuffle_of_customers(warehouse, no_broadcast):
     text = plan(gold.joined_customers(
         warehouse.clean("crm_cust_info"), warehouse.clean("erp_cust_az12"), warehouse.clean("erp_loc_a101")))
