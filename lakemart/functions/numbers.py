@@ -23,8 +23,16 @@ def ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
 
 
 def percent(part: Column, whole: Column, scale: int = 2) -> Column:
-    """Share of the whole in percent as a decimal."""
-    return ratio(part * 100, whole, scale)
+    """Share of the whole in percent, rounded half away from zero; NULL for no whole.
+
+    In whole numbers of up to 38 digits, so that the largest bigint sums neither
+    overflow nor are rounded twice.
+    """
+    part, whole = part.cast("decimal(20,0)"), whole.cast("decimal(20,0)")
+    doubled = F.abs(part) * F.lit(2 * 10 ** (scale + 2)).cast("decimal(10,0)") + F.abs(whole)
+    units = int_div(doubled, F.abs(whole) * F.lit(2).cast("decimal(1,0)"))
+    signed = units * F.signum(part).cast("bigint") * F.signum(whole).cast("bigint")
+    return (signed.cast("decimal(20,0)") * F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(20,{scale})")
 
 
 def percent_text(value: Column) -> Column:

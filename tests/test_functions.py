@@ -112,3 +112,11 @@ def test_division(values):
 def test_percent(values):
     got = values([(1, 3), (None, 3)], "a int, b int", percent_text(percent(F.col("a"), F.col("b"))))
     assert got == ["33.33%", "%"]
+
+
+def test_percent_of_the_largest_sums(values):
+    """No overflow, halves away from zero, signs kept."""
+    huge = 2**63 - 1
+    rows = [(10**17, 3 * 10**17), (huge, huge), (1, huge), (1, 200), (1, 16000), (-1, 16000), (3, 0), (0, 5)]
+    got = values(rows, "a bigint, b bigint", percent(F.col("a"), F.col("b")))
+    assert got == [Decimal(x) if x else None for x in ("33.33", "100.00", "0.00", "0.50", "0.01", "-0.01", None, "0.00")]
