@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import concat_skip_null, int_div, ratio, whole_months, whole_years
 from lakemart.operators.ranking import best_with_ties
-from lakemart.plans.segments import CustomerRule, ProductRule, age_band
+from lakemart.plans.segments import CustomerRule, ProductRule, AGE_BANDS
 from lakemart.plans.star import dated, per_member, quantity_sum, sales_sum
 
 
@@ -57,7 +57,7 @@ def report_customers(
         "customer_number",
         concat_skip_null(F.col("first_name"), " ", F.col("last_name")).alias("customer_name"),
         "age",
-        age_band(F.col("age")).alias("age_group"),
+        AGE_BANDS.label(F.col("age")).alias("age_group"),
         rule.label(F.col("lifespan_months"), F.col("total_sales")).alias("customer_segments"),
         "total_orders",
         "total_sales",

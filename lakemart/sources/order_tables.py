@@ -76,10 +76,10 @@ def erp_cust_az12(spark: SparkSession, base: str) -> DataFrame:
 
 
 def erp_loc_a101(spark: SparkSession, base: str) -> DataFrame:
-    """Locations: dashed and unknown keys, country codes, blanks, padded names. Nations are a fixed list."""
+    """Locations: dashed and unknown keys, country codes, blanks, padded names. An unknown nation has no name."""
     k, nation, name = F.col("c_custkey"), F.col("c_nationkey"), F.col("n_name")
     rows = _read(spark, base, "customer").join(
-        _read(spark, base, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+        _read(spark, base, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     return rows.select(
         F.when(k % 97 == 5, _customer_number(k, "XX-")).otherwise(_customer_number(k, "AW-")).alias("cid"),
@@ -146,7 +146,8 @@ def _day_number(day: Column) -> Column:
 def crm_sales_details(spark: SparkSession, base: str) -> DataFrame:
     """Order lines with their order: unknown keys, bad dates, wrong amounts.
 
-    Every tenth part goes unsold; its lines name the next part.
+    Every tenth part goes unsold; its lines name the next part. A line whose
+    order is missing has neither customer nor order and due date.
 
     The only join of two large tables in the library's input. It is on the order
     key, and a hot order is split by AQE on the line side.
@@ -155,12 +156,12 @@ def crm_sales_details(spark: SparkSession, base: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     orders = _read(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+    order, customer = F.col("l_orderkey"), F.col("o_custkey")
     part = F.when(F.col("l_partkey") % 10 == 0, F.col("l_partkey") + 1).otherwise(F.col("l_partkey"))
     ordered = F.to_date("o_orderdate")
     quantity = F.col("l_quantity").cast("int")
     price = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int")
-    return lines.join(orders, F.col("l_orderkey") == order).select(
+    return lines.join(orders, order == F.col("o_orderkey"), "left").select(
         F.concat(F.lit("SO"), order.cast("string")).alias("sls_ord_num"),
         F.concat(F.when(part % 500 == 9, "XX-").otherwise("PN-"), part.cast("string"))
         .alias("sls_prd_key"),

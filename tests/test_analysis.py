@@ -1,6 +1,7 @@
 """Edge cases of the analyses on a small hand-written star."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -84,12 +85,12 @@ def test_customer_rule(values, lifespan, spend, label):
 
 def test_bands(values):
     costs = [(c,) for c in (99, 100, 500, 501, 1000, 1001, None)]
-    assert values(costs, "c int", segments.cost_band(F.col("c"))) == [
+    assert values(costs, "c int", segments.COST_BANDS.label(F.col("c"))) == [
         "Below 100", "100-500", "100-500", "500-1000", "500-1000", "Above 1000", "Above 1000"]
     ages = [(a,) for a in (19, 20, 29, 30, 49, 50, None)]
-    assert values(ages, "a int", segments.age_band(F.col("a"))) == [
+    assert values(ages, "a int", segments.AGE_BANDS.label(F.col("a"))) == [
         "Under 20", "20-29", "20-29", "30-39", "40-49", "50 and above", "50 and above"]
-    assert values([(None,)], "a int", segments.age_band(F.col("a"), "unknown")) == ["unknown"]
+    assert values([(None,)], "a int", replace(segments.AGE_BANDS, unknown="unknown").label(F.col("a"))) == ["unknown"]
     revenue = [(r,) for r in (50000, 50001, 9999, 10000)]
     assert values(revenue, "r int", segments.ProductRule().label(F.col("r"))) == [
         "Mid-Range", "High-Performer", "Low-Performer", "Mid-Range"]

@@ -18,8 +18,9 @@ def test_one_current_version_and_no_overlap(warehouse):
     assert versions.filter("prd_end_dt < prd_start_dt").count() == 0
 
 
-def test_fact_keeps_every_line(warehouse):
-    assert warehouse.fact.count() == warehouse.raw("crm_sales_details").count()
+def test_fact_keeps_every_line(spark, testdata, warehouse):
+    lines = spark.read.parquet(f"{testdata}/lineitem.parquet").count()
+    assert warehouse.fact.count() == warehouse.raw("crm_sales_details").count() == lines
 
 
 def test_report_totals(warehouse):
