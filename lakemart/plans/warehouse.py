@@ -1,31 +1,43 @@
 """The warehouse over a folder of order tables, built as far as a query needs it.
 
-Tables that cost a shuffle of the lines or a numbering are written once per
-session to the shared work folder and read back by every later query, with
+Tables that cost a shuffle of the lines or a numbering are written once to the
+shared work folder and read back by every later query of any application, with
 column pruning and pushed filters. Everything else stays a plan over its input.
+
+What is stored lies below the state of the input files and of this code; a
+table that depends on the reporting day or a rule has these in its path, too.
+A table counts from the moment its commit row is written, so a writer that dies
+leaves nothing that is read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cache, cached_property
+from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lakemart.plans import gold, reports, silver
 from lakemart.plans.segments import CustomerRule, ProductRule
 from lakemart.session import work_dir
+from lakemart.sources.files import children, delete, scratch_space
 from lakemart.sources.order_tables import RAW_TABLES, fingerprint
 
 # Stored because later queries would repeat a shuffle or a costly projection of all lines.
 # The categories are stored so that their size is known to the joins.
 LANDED = ("crm_sales_details", "erp_px_cat_g1v2")
-CLEANED = ("crm_cust_info", "crm_prd_info", "crm_sales_details")
+# Clean sales are a narrow projection of the stored raw lines and not stored again.
+CLEANED = ("crm_cust_info", "crm_prd_info")
+COMMIT = "folder string, schema string, committed_at timestamp"
 
 SILVER_PLANS = {
     "crm_cust_info": silver.customers,
@@ -35,8 +47,17 @@ SILVER_PLANS = {
     "erp_px_cat_g1v2": silver.categories,
 }
 
-_written: dict[str, T.StructType] = {}
 _lock = threading.RLock()
+_found: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+
+
+@cache
+def code_version() -> str:
+    """Changes with any source file that may change a stored table."""
+    package = Path(__file__).resolve().parents[1]
+    parts = [package / "functions", package / "operators", package / "plans", package / "sources"]
+    text = b"".join(f.name.encode() + f.read_bytes() for part in parts for f in sorted(part.glob("*.py")))
+    return hashlib.sha256(text).hexdigest()[:16]
 
 
 @dataclass(frozen=True)
@@ -52,24 +73,72 @@ class Warehouse:
     def __init__(self, spark: SparkSession, base: str, settings: Settings = Settings()):
         self.spark, self.base, self.settings = spark, base, settings
 
+    @property
+    def _base(self) -> str:
+        return f"{work_dir(self.spark)}/lakemart"
+
     @cached_property
     def _folder(self) -> str:
-        """One folder per session and state of the input files."""
-        application = self.spark.sparkContext.applicationId
-        return f"{work_dir(self.spark)}/lakemart/{application}/{fingerprint(self.spark, self.base)}"
+        """One folder per state of the input files and of the code. A warehouse lists its input once."""
+        return f"{self._base}/{code_version()}_{fingerprint(self.spark, self.base)}"
 
     def new_folder(self) -> str:
         """A folder of its own for files a query writes, next to the stored tables."""
         return f"{self._folder}/runs/{uuid.uuid4().hex}"
 
-    def _stored(self, table: str, plan: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{self._folder}/{table}"
+    def _stored(self, table: str, plan: Callable[[], DataFrame], *settings: object) -> DataFrame:
+        """The stored table; it is built if no application has. ``settings`` are all that it depends on besides the input."""
+        suffix = f"-{hashlib.sha256(repr(settings).encode()).hexdigest()[:16]}" if settings else ""
+        path = f"{self._folder}/{table}{suffix}"
+        key = (self.spark.sparkContext.applicationId, path)
         with _lock:
-            if path not in _written:
-                rows = plan()
-                rows.write.mode("overwrite").parquet(path)
-                _written[path] = rows.schema
-        return self.spark.read.schema(_written[path]).parquet(path)
+            found = _found.get(key) or self._committed(path)
+            if found is None:
+                self._build(path, plan)
+                found = self._committed(path)
+            _found[key] = found
+        folder, schema = found
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def _committed(self, path: str) -> tuple[str, T.StructType] | None:
+        """Folder and schema of the first build that was committed; later ones of other applications don't count."""
+        try:
+            commits = self.spark.read.schema(COMMIT).parquet(f"{path}/_commits")
+            first = commits.orderBy("committed_at", "folder").first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return first and (f"{path}/{first['folder']}", T.StructType.fromJson(json.loads(first["schema"])))
+
+    def _build(self, path: str, plan: Callable[[], DataFrame]) -> None:
+        build = uuid.uuid4().hex
+        with scratch_space(self.spark):
+            rows = plan()
+            rows.write.parquet(f"{path}/{build}")
+        row = [(build, rows.schema.json(), dt.datetime.now(dt.UTC))]
+        self.spark.createDataFrame(row, COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/_commits")
+
+    def build(self) -> None:
+        """Store all tables that queries read, so that these only read."""
+        for table in LANDED:
+            self.raw(table)
+        for table in CLEANED:
+            self.clean(table)
+        self.customers, self.products, self.fact, self.report_customers, self.report_products  # noqa: B018
+
+    def reclaim(self) -> list[str]:
+        """Remove what was stored for other states of the input files or the code; returns the folders' names.
+
+        Not to be run while another application reads them.
+        """
+        current = self._folder.rsplit("/", 1)[1]
+        gone = [name for name in children(self.spark, self._base) if name != current]
+        for name in gone:
+            delete(self.spark, f"{self._base}/{name}")
+            for key in [k for k in _found if k[1].startswith(f"{self._base}/{name}/")]:
+                _found.pop(key)
+        return gone
 
     def raw(self, table: str) -> DataFrame:
         def plan() -> DataFrame:
@@ -95,7 +164,7 @@ class Warehouse:
     def customers(self) -> DataFrame:
         return self._stored("dim_customers", lambda: gold.dim_customers(
             self.clean("crm_cust_info"), self.clean("erp_cust_az12"), self.clean("erp_loc_a101")
-        ))
+        ), self.settings.as_of)
 
     @property
     def products(self) -> DataFrame:
@@ -107,16 +176,16 @@ class Warehouse:
     def fact(self) -> DataFrame:
         return self._stored("fact_sales", lambda: gold.fact_sales(
             self.clean("crm_sales_details"), self.products, self.customers
-        ))
+        ), self.settings.as_of)
 
     @property
     def report_customers(self) -> DataFrame:
         return self._stored("report_customers", lambda: reports.report_customers(
             self.fact, self.customers, self.settings.as_of, self.settings.customer_rule
-        ))
+        ), self.settings.as_of, self.settings.customer_rule)
 
     @property
     def report_products(self) -> DataFrame:
         return self._stored("report_products", lambda: reports.report_products(
             self.fact, self.products, self.settings.as_of, self.settings.product_rule
-        ))
+        ), self.settings.as_of, self.settings.product_rule)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,9 +92,34 @@ def _exported_monthly(w: Warehouse) -> DataFrame:
     return w.spark.read.schema(table.schema).parquet(path)
 
 
+def _reloaded_sales(w: Warehouse) -> DataFrame:
+    """Load the clean sales twice, reclaim the first load and read the current one."""
+    store = LayerStore(w.spark, w.new_folder())
+    for _ in range(2):
+        store.load("silver", {SALES: w.clean(SALES)})
+    store.reclaim("silver")
+    return store.read("silver", SALES)
+
+
+def _sales_after_failure(w: Warehouse) -> DataFrame:
+    """Load the clean sales, let a second load fail half-way, and read what is current."""
+    store = LayerStore(w.spark, w.new_folder())
+    store.load("silver", {SALES: w.clean(SALES)})
+    broken = w.clean(SALES).withColumn("sls_sales", F.raise_error(F.lit("this load fails")).cast("int"))
+    try:
+        store.load("silver", {CUSTOMERS: w.clean(CUSTOMERS).limit(0), SALES: broken})
+    except PySparkException:
+        return store.read("silver", SALES)
+    raise RuntimeError("the second load should have failed")
+
+
 LOADS: dict[str, Plan] = {
-    "s4_csv_customers": _csv_round_trip(CUSTOMERS),
-    "s4_csv_sales": _csv_round_trip(SALES),
+    **{f"s4_csv_{name}": _csv_round_trip(table) for name, table in {
+        "customers": CUSTOMERS, "products": PRODUCTS, "sales": SALES, "erp_customers": PEOPLE,
+        "locations": PLACES, "categories": CATEGORIES,
+    }.items()},
+    "s5_reloaded_sales": _reloaded_sales,
+    "s7_failed_load_keeps_sales": _sales_after_failure,
     "s8_load_audit": _load_audit,
     "s10_published_reports": _published_reports,
     "s14_exported_monthly": _exported_monthly,
@@ -197,6 +223,28 @@ def _catalog_sales(w: Warehouse) -> DataFrame:
     return w.products.select("product_key", "product_number").join(sums, "product_key", "left")
 
 
+def _category_reach(w: Warehouse) -> DataFrame:
+    """Customers and orders per category: pairs are made distinct before the category is joined."""
+    categories = w.products.select("product_key", "category")
+
+    def reach(member: str, name: str, other: str) -> DataFrame:
+        pairs = w.fact.select("product_key", member).distinct().join(categories, "product_key", "left")
+        return pairs.groupBy("category").agg(F.count_distinct(member).alias(name)).withColumn(other, F.lit(0))
+
+    both = reach("customer_key", "total_customers", "total_orders").unionByName(
+        reach("order_number", "total_orders", "total_customers")
+    )
+    return both.groupBy("category").agg(F.sum("total_customers").alias("total_customers"), F.sum("total_orders").alias("total_orders"))
+
+
+def _missing_references(w: Warehouse) -> DataFrame:
+    """Lines and sales without a dimension row: the fact is reduced to its key pairs before the joins."""
+    pairs = w.fact.groupBy("customer_key", "product_key").agg(F.count("*").alias("lines"), F.sum("sales_amount").alias("sales"))
+    return gold.orphans(pairs, w.customers, w.products).groupBy("customer_missing", "product_missing").agg(
+        F.sum("lines").alias("lines"), F.sum("sales").alias("sales")
+    )
+
+
 STAR: dict[str, Plan] = {
     "m1_customer_keys": lambda w: w.customers.select("customer_key", "customer_id"),
     "m1_product_keys": lambda w: w.products.select("product_key", "product_number"),
@@ -229,12 +277,7 @@ FUNCTIONS: dict[str, Plan] = {
         F.count_distinct("customer_key").alias("total_customers"),
         F.count_distinct("product_key").alias("total_products"),
     ),
-    "a8_category_reach": lambda w: w.fact.join(
-        w.products.select("product_key", "category"), "product_key", "left"
-    ).groupBy("category").agg(
-        F.count_distinct("customer_key").alias("total_customers"),
-        F.count_distinct("order_number").alias("total_orders"),
-    ),
+    "a8_category_reach": _category_reach,
 }
 
 EXPLORE: dict[str, Plan] = {
@@ -349,9 +392,7 @@ QUALITY: dict[str, Plan] = {
     "q11_location_preview": lambda w: w.raw(PLACES).select(
         F.col("cid").alias("raw_cid"), clean.drop_dashes(F.col("cid")).alias("cid"), "cntry"
     ),
-    "q12_missing_references": lambda w: gold.orphans(w.fact, w.customers, w.products).groupBy(
-        "customer_missing", "product_missing"
-    ).agg(F.count("*").alias("lines"), F.sum("sales_amount").alias("sales")),
+    "q12_missing_references": _missing_references,
     "q13_undated_sales": lambda w: w.fact.filter(F.col("order_date").isNull()).agg(
         F.sum("sales_amount").alias("excluded_sales")
     ),
@@ -386,8 +427,22 @@ PLANS: dict[str, Plan] = {
 }
 
 
+_warehouses: dict[tuple[str, str], Warehouse] = {}
+
+
+def warehouse_of(spark: SparkSession, base: str, refresh: bool = False) -> Warehouse:
+    """The warehouse that all queries of an application share, so that the input is listed once.
+
+    After the input files were changed, ``refresh`` lists them again.
+    """
+    key = (spark.sparkContext.applicationId, base)
+    if refresh or key not in _warehouses:
+        _warehouses[key] = Warehouse(spark, base)
+    return _warehouses[key]
+
+
 def _runner(plan: Plan) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, base: plan(Warehouse(spark, base))
+    return lambda spark, base: plan(warehouse_of(spark, base))
 
 
 QUERIES = {name: _runner(plan) for name, plan in PLANS.items()}
