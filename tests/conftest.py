@@ -8,6 +8,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakemart.session import build_session  # noqa: E402
 
+# Figures of sample exports, tested where there are some; tests/test_golden.py has a small shop of its own.
+collect_ignore = [] if os.environ.get("LAKEMART_SAMPLES") else ["test_samples.py"]
+
 TESTDATA = os.environ.get("LAKEMART_TESTDATA", "/root/testdata/sf0.001")
 
 

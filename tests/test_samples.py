@@ -17,11 +17,6 @@ from lakemart.sources.csv_files import default_file, read_exports
 FOLDER = os.environ.get("LAKEMART_SAMPLES", "")
 TABLES = ("crm_prd_info", "erp_px_cat_g1v2")
 
-pytestmark = pytest.mark.skipif(
-    not all(os.path.exists(os.path.join(FOLDER, default_file(t))) for t in TABLES), reason="no sample exports here"
-)
-
-
 @pytest.fixture(scope="module")
 def raw(spark):
     return read_exports(spark, FOLDER, tables=TABLES)
