@@ -75,7 +75,10 @@ class Index:
     place: np.ndarray
     known: np.ndarray
     short: list[int]
-    budget: float
+    own: list[np.ndarray]  # the q-grams of each passage, by place
+    lengths: np.ndarray
+    allowed: np.ndarray  # edits
+    need: np.ndarray  # q-grams that a text must share
 
     @classmethod
     def of(cls, passages: list[tuple], budget: float) -> Index:
@@ -89,7 +92,12 @@ class Index:
         known = np.zeros(1 << _FILTER_BITS, dtype=bool)
         known[all_grams >> np.uint64(64 - _FILTER_BITS)] = True
         short = [i for i, p in enumerate(points) if 0 < len(p) < Q]
-        return cls([i for i, _ in passages], points, texts, all_grams[order], item[order], place[order], known, short, budget)
+        lengths = np.array([len(p) for p in points], dtype=np.int64)
+        allowed = np.array([edits_allowed(m, budget) for m in lengths.tolist()], dtype=np.int64)
+        return cls(
+            [i for i, _ in passages], points, texts, all_grams[order], item[order], place[order], known, short, grams,
+            lengths, allowed, lengths - Q + 1 - allowed * Q,
+        )
 
     def candidates(self, text: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(passage, first diagonal, diagonal after the last) of every band that reaches the bound of the lemma."""
@@ -100,9 +108,6 @@ class Index:
         total = int(count.sum())
         if not total:
             return
-        lengths = np.array([len(p) for p in self.points])
-        allowed = np.array([edits_allowed(m, self.budget) for m in lengths])
-        need = lengths - Q + 1 - allowed * Q
         # Shared q-grams are counted per passage and band, some at a time: a text may repeat itself very often.
         keys, sums = [], []
         reached = np.cumsum(count)
@@ -112,7 +117,7 @@ class Index:
             some, n = slice(begin, done), count[begin:done]
             hit = np.repeat(first[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             item = self.item[hit]
-            band = np.floor_divide(np.repeat(at[some], n) - self.place[hit], allowed[item] + 1)
+            band = np.floor_divide(np.repeat(at[some], n) - self.place[hit], self.allowed[item] + 1)
             key = (item << 40) + band + (1 << 39)
             # Bands overlap by half: a diagonal counts for its own and the one before.
             for k, c in (np.unique(x, return_counts=True) for x in (key, key - 1)):
@@ -121,19 +126,24 @@ class Index:
             begin = done
         bands, where = np.unique(np.concatenate(keys), return_inverse=True)
         shared = np.bincount(where, weights=np.concatenate(sums))
-        enough = shared >= need[bands >> 40]
+        enough = shared >= self.need[bands >> 40]
         for key in bands[enough].tolist():
             i, b = key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
-            width = int(allowed[i]) + 1
-            yield i, b * width, (b + 2) * width
+            width = int(self.allowed[i]) + 1
+            lo, hi = b * width, (b + 2) * width
+            # A text that repeats itself fills bands: what counts is how many q-grams of the passage are there.
+            there = grams[max(0, lo) : max(0, hi + int(self.lengths[i]))]
+            if np.isin(self.own[i], there).sum() >= self.need[i]:
+                yield i, lo, hi
 
     def search(self, text: str) -> list[tuple]:
         """(item, start, edits) of the best occurrence of every passage that stands in a normalised text."""
         points = _points(text)
         best: dict[int, tuple[int, int]] = {}
         for i, lo, hi in self.candidates(points):
-            found = align(self.points[i], points, lo, hi)
-            if found[0] <= edits_allowed(len(self.points[i]), self.budget) and (i not in best or found < best[i]):
+            allowed = int(self.allowed[i])
+            found = align(self.points[i], points, lo, hi, allowed)
+            if found[0] <= allowed and (i not in best or found < best[i]):
                 best[i] = found
         if self.short:  # too short for a q-gram: as words, exactly
             padded = f" {text} "
@@ -144,40 +154,44 @@ class Index:
         return [(self.items[i], start, edits) for i, (edits, start) in sorted(best.items())]
 
 
-def align(passage: np.ndarray, text: np.ndarray, lo: int, hi: int) -> tuple[int, int]:
-    """(edits, start) of the passage in the text, along paths on the diagonals lo … hi - 1.
+def align(passage: np.ndarray, text: np.ndarray, lo: int, hi: int, most: int) -> tuple[int, int]:
+    """(edits, start) of the passage in the text, along paths on the diagonals lo … hi - 1; given up beyond ``most`` edits.
 
     Start and end in the text are free. Row i of the table holds the cost of
     the first i characters at text place i + diagonal.
     """
     m, n, width = len(passage), len(text), hi - lo
-    if 0 <= lo and hi - 1 + m <= n:  # most are exact: one comparison per diagonal of the first characters
-        heads = np.flatnonzero(text[lo:hi] == passage[0])
-        for d in heads.tolist():
-            if np.array_equal(text[lo + d : lo + d + m], passage):
-                return 0, lo + d
+    for d in range(max(lo, 0), min(hi, n - m + 1)):  # most are exact
+        if text[d] == passage[0] and text[d + m - 1] == passage[-1] and np.array_equal(text[d : d + m], passage):
+            return 0, d
     far = m + n + 1
-    diagonal = np.arange(lo, hi)
-    cost = np.where((diagonal >= 0) & (diagonal <= n), 0, far)
-    start = diagonal.copy()
-    steps = np.arange(width)
+    diagonal, steps = np.arange(lo, hi), np.arange(width)
+    # The part of the text that the band touches, with a character that no text has beyond its ends.
+    near = np.full(m + width, 0xFFFFFFFF, dtype=np.uint32)
+    first, last = max(lo, 0), min(hi + m - 1, n)
+    if first < last:
+        near[first - lo : last - lo] = text[first:last]
+    cost = np.full(width + 1, far)  # a column more, that is never reached
+    cost[:width][(diagonal >= 0) & (diagonal <= n)] = 0
+    start = np.append(diagonal, 0)
     for i in range(1, m + 1):
-        at = diagonal + i  # place in the text after this row
-        inside = (at >= 1) & (at <= n)
-        differs = np.ones(width, dtype=np.int64)
-        differs[inside] = text[at[inside] - 1] != passage[i - 1]
-        new, origin = np.where(inside, cost + differs, far), start.copy()
+        new = cost[:width] + (near[i - 1 : i - 1 + width] != passage[i - 1])
         # A character of the passage is missing in the text: from the diagonal above.
-        skip = np.append(cost[1:] + 1, far)
-        skip = np.where((at >= 0) & (at <= n), skip, far)
+        skip = cost[1:] + 1
         better = skip < new
-        new, origin = np.where(better, skip, new), np.where(better, np.append(start[1:], 0), origin)
+        origin = np.where(better, start[1:], start[:width])
+        new = np.where(better, skip, new)
+        if i + lo < 1 or i + hi - 1 > n:  # places outside of the text
+            new[(diagonal + i < 0) | (diagonal + i > n)] = far
         # The text has further characters: from the left in this row, one edit a step.
         run = np.minimum.accumulate((new - steps) * width + steps)
         source = run % width
-        cost = new[source] + steps - source
-        start = origin[source]
-        cost[(at < 0) | (at > n)] = far
+        cost[:width] = new[source] + steps - source
+        start[:width] = origin[source]
+        if i + hi - 1 > n:
+            cost[:width][diagonal + i > n] = far
+        if cost.min() > most:
+            return far, lo
     end = int(np.argmin(cost))
     return int(cost[end]), int(start[end])
 
