@@ -62,7 +62,8 @@ def by_size(rows: DataFrame) -> DataFrame:
     parts of that by digest. So documents next to each other have nearly equal
     sizes, and a part stays small also where a source holds most documents.
     """
-    sixteenth = F.floor(F.log2(F.col("size") + 1.0) * 16).cast("long")
+    # The number of doublings, and the four bits after the first of the size.
+    sixteenth = F.expr("(length(bin(size + 1)) - 1) * 16 + (shiftright((size + 1) * 16, length(bin(size + 1)) - 1) & 15)").cast("long")
     parts = rows.withColumn("_part", sixteenth * 64 + F.conv(F.substring("digest", 1, 4), 16, 10).cast("long") % 64)
     return places(parts, "source", "_part", ["size", "digest"], "digest", "place").drop("_part")
 

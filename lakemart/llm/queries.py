@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm import chat, decontaminate, language, licenses, mixing, quality, sharding, simhash, substrings, tokens
 from lakemart.llm.common import table
+from lakemart.llm.oracles import ORACLES as ORACLES
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SHARDS = 8
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.deduplicate(table(spark, sf_dir, "documents"), window=20, with_text=False)
+    return substrings.deduplicate(table(spark, sf_dir, "documents"), window=20, with_text=False).drop("n_factors")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,5 +60,3 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and callable(query)
 }
-
-ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE_SQL}
