@@ -136,14 +136,16 @@ def fit(docs: DataFrame, sample: int = 1600, landmarks: int = 96, lang: str = "l
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     # One row per different text; texts don't move here.
     slim = labelled.groupBy("lang", "digest").agg(F.min("row").alias("row"))
-    known = slim.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample).select("lang").collect()
+    known = slim.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()
     if not known:
         return None
-    # The few smallest per language are found in each task before anything is moved.
-    ranked = slim.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("digest")))
-    chosen = ranked.filter(F.col("nth") <= max(1, sample // len(known)))
-    if len(known) == sample:
-        chosen = chosen.filter(F.col("lang").isin([k["lang"] for k in known]))
+    quota = max(1, sample // len(known))
+    # Digests are even: below these bounds are about four times as many rows as are wanted, in any table.
+    bounds = [(k["lang"], min(2**63 - 1, -(2**63) + 2**64 * 4 * quota // k["n"])) for k in known]
+    bounds = docs.sparkSession.createDataFrame(bounds, "of string, bound long")  # a row per language
+    few = slim.join(F.broadcast(bounds), (F.col("lang") == F.col("of")) & (F.col("digest") <= F.col("bound")))
+    ranked = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("digest")))
+    chosen = ranked.filter(F.col("nth") <= quota)
     picked = F.broadcast(chosen.select(F.col("row").alias("picked"), "nth"))  # at most ``sample`` rows
     chosen = labelled.join(picked, F.col("row") == F.col("picked"))
 
@@ -213,8 +215,8 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
     return predict(slim, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
-def with_known_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """``docs`` without those whose language can't be told: no letter, or a score below ``least``."""
+def with_known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
+    """``docs`` without those whose language can't be told: no letter or, if wanted, a score below ``least``."""
     named, scored = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
     return predict(docs, fit(training_rows(docs)), name=named, score=scored).filter(
         (F.col(named) != UNKNOWN) & (F.col(scored) >= least)
