@@ -55,6 +55,16 @@ def with_row_key(df: DataFrame, name: str) -> DataFrame:
         return with_row_key(stored(df, "rows"), name)
 
 
+def apart(key: str) -> Column:
+    """A whole number's complement, to join a counted side by that would stay where it was counted.
+
+    Joined by the key itself, Spark would bring the other side there: all rows
+    of a frequent key to one task, which can't be split then. By the complement
+    the counted side, a row per key, is dealt out anew, and AQE may split the other.
+    """
+    return F.bitwise_not(F.col(key))
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; none for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -29,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import arrays
-from lakemart.llm.common import ship, stored
+from lakemart.llm.common import apart, ship, stored
 
 GRAM = 6
 #: Base of a second hash of windows.
@@ -116,21 +116,11 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(look, WINDOWS)
 
 
-def _other(key: str) -> Column:
-    """A key's complement. Counts joined by it are dealt out anew, a few rows.
-
-    Joined by the key itself they would stay where they were counted, and the
-    other side would have to follow: all rows of a frequent key to one task,
-    which Spark can't split then.
-    """
-    return F.bitwise_not(F.col(key))
-
-
 def repeated_blocks(docs: DataFrame, window: int) -> DataFrame:
     """The blocks of (ord, text_hash, text) whose anchor occurs at least twice, stored."""
     blocks = _blocks(docs, window)
     counts = blocks.select("anchor").groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    return stored(blocks.join(counts.select(_other("anchor").alias("often")), _other("anchor") == F.col("often"), "left_semi"), "repeated")
+    return stored(blocks.join(counts.select(apart("anchor").alias("often")), apart("anchor") == F.col("often"), "left_semi"), "repeated")
 
 
 def matches(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -146,22 +136,22 @@ def matches(docs: DataFrame, window: int = 20) -> DataFrame:
     where = F.struct("ord", "place")
     contents = blocks.groupBy("anchor", "content").agg(F.min(where).alias("first"), F.count("*").alias("n"))
     # Contents that occur once need no index: such a block is new.
-    index = contents.filter("n > 1").select(_other("anchor").alias("a"), F.col("content").alias("c"), "first")
+    index = contents.filter("n > 1").select(apart("anchor").alias("a"), F.col("content").alias("c"), "first")
     # Contents differ under one anchor: only there can a new block hold an old window.
-    mixed = contents.groupBy("anchor").agg(F.count("*").alias("contents")).filter("contents > 1").select(_other("anchor").alias("m"))
-    parsed = blocks.join(index, (_other("anchor") == F.col("a")) & (F.col("content") == F.col("c")), "left")
+    mixed = contents.groupBy("anchor").agg(F.count("*").alias("contents")).filter("contents > 1").select(apart("anchor").alias("m"))
+    parsed = blocks.join(index, (apart("anchor") == F.col("a")) & (F.col("content") == F.col("c")), "left")
     old = parsed.filter(F.col("first") < where).select(
         "ord", "text_hash", F.expr(f"cast(place div {PLACE} as int)").alias("start"), (F.col("place") % PLACE).cast("int").alias("windows"),
         F.col("first.ord").alias("ref"), F.expr(f"cast(first.place div {PLACE} as int)").alias("ref_start"),
     )
-    new = parsed.filter(F.col("first").isNull() | (F.col("first") == where)).join(mixed, _other("anchor") == F.col("m"), "left_semi")
+    new = parsed.filter(F.col("first").isNull() | (F.col("first") == where)).join(mixed, apart("anchor") == F.col("m"), "left_semi")
     border = new.groupBy(F.col("ord").alias("o"), F.col("text_hash").alias("t")).agg(F.collect_set("place").alias("places"))
     searched = texts.join(border, (F.col("ord") == F.col("o")) & (F.col("text_hash") == F.col("t")))
     windows = stored(_windows(searched.select("ord", "text_hash", "text", "places"), window), "windows")
     at = F.struct("ord", "start")
     twice = windows.groupBy("hash1", "hash2").agg(F.min(at).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    earliest = twice.select(_other("hash1").alias("h1"), F.col("hash2").alias("h2"), "first")
-    single = windows.join(earliest, (_other("hash1") == F.col("h1")) & (F.col("hash2") == F.col("h2"))).filter(F.col("first") < at)
+    earliest = twice.select(apart("hash1").alias("h1"), F.col("hash2").alias("h2"), "first")
+    single = windows.join(earliest, (apart("hash1") == F.col("h1")) & (F.col("hash2") == F.col("h2"))).filter(F.col("first") < at)
     single = single.select(
         "ord", "text_hash", "start", F.lit(1).alias("windows"),
         F.lit(None).cast("long").alias("ref"), F.lit(None).cast("int").alias("ref_start"),
