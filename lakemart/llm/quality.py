@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm import arrays
-from lakemart.llm.common import ship, stored
+from lakemart.llm.common import apart, ship, stored
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", dtype=np.uint8)] = True
@@ -177,7 +177,7 @@ def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float
         "measured",
     )
     good = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.min("quality").alias("quality")).filter("quality = 1")
-    holdout = rows.filter(~F.col("base_failed")).join(good, F.col("doc_id") == F.col("labelled"), "left_semi")
+    holdout = rows.filter(~F.col("base_failed")).join(good.select(apart("labelled").alias("good")), apart("doc_id") == F.col("good"), "left_semi")
     limits = cutoffs(holdout, risk, error).withColumnRenamed("stratum", "of")
     ruled = rows.join(limits, F.col("stratum").eqNullSafe(F.col("of")), "left")
     failed = F.filter(F.array(*(F.when(F.col(rule) > F.col(f"cut_{rule}"), F.lit(rule)) for rule in RULES)), lambda r: r.isNotNull())
