@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import stored
+from lakemart.llm.common import apart, stored
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -40,19 +40,23 @@ def _step(pairs: DataFrame, large: bool) -> DataFrame:
     """Edges (a > b) after all neighbours on one side of every node were moved to its smallest one."""
     if large:  # a node sees all neighbours and moves the larger ones
         seen = pairs.select(F.col("a").alias("n"), F.col("b").alias("m")).union(pairs.select(F.col("b").alias("n"), F.col("a").alias("m")))
-        least = pairs.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("least"))
-        moved = seen.filter("m > n").join(least, "n", "left").select(
+        moved = seen.filter("m > n").join(_least(pairs), apart("n") == F.col("of"), "left").select(
             F.col("m").alias("a"), F.coalesce("least", "n").alias("b")
         )
     else:  # a node moves its smaller neighbours and itself
-        least = pairs.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("least"))
-        joined = pairs.withColumnRenamed("a", "n").join(least, "n")
+        least = _least(pairs)
+        joined = pairs.join(least, apart("a") == F.col("of"))
         moved = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).union(
-            least.select(F.col("n").alias("a"), F.col("least").alias("b"))
+            least.select(apart("of").alias("a"), F.col("least").alias("b"))
         )
     return moved.filter("a <> b").distinct()
 
 
+def _least(pairs: DataFrame) -> DataFrame:
+    """The smallest smaller neighbour of every node that has one; the node as its complement."""
+    return pairs.groupBy("a").agg(F.min("b").alias("least")).select(apart("a").alias("of"), "least")
+
+
 def _state(pairs: DataFrame) -> tuple:
     """Equal before and after a round only if the round changed nothing."""
     digest = F.xxhash64("a", "b").cast("decimal(38,0)")

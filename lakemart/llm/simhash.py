@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import arrays
-from lakemart.llm.common import free_name, ship, stored, with_row_key
+from lakemart.llm.common import apart, free_name, ship, stored, with_row_key
 from lakemart.llm.components import components
 
 SEED = 42
@@ -93,7 +93,7 @@ def _segments(count: int) -> list[tuple[int, int]]:
 
 
 def _blocks(fp: Column, radius: int) -> Column:
-    """The blocks of a fingerprint: for every two segments, their number and bits as longs."""
+    """The blocks of a fingerprint: for every two segments, the number of the pair and the bits of both."""
     parts = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << n) - 1)) if n < 64 else fp for a, n in _segments(radius + 2)]
     pairs = combinations(range(len(parts)), 2)
     return F.array(*(F.struct(F.lit(i).alias("pair"), parts[a].alias("left"), parts[b].alias("right")) for i, (a, b) in enumerate(pairs)))
@@ -148,24 +148,26 @@ def links(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     no task holds more than two tiles at a time, however large a block is.
     """
     ship(fps.sparkSession)
-    blocked = fps.select("fp", F.explode(_blocks(F.col("fp"), radius)).alias("block"), F.bit_count("fp").alias("ones"))
-    sizes = blocked.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1")
-    blocked = stored(blocked.join(sizes, "block"), "blocks")
+    key = ["pair", "left", "right"]
+    blocked = fps.select("fp", F.bit_count("fp").alias("ones"), F.explode(_blocks(F.col("fp"), radius)).alias("block")).select("fp", "ones", "block.*")
+    sizes = blocked.groupBy(*key).agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = sizes.select(F.col("pair").alias("p"), apart("left").alias("l"), F.col("right").alias("r"), "size")
+    same = (F.col("pair") == F.col("p")) & (apart("left") == F.col("l")) & (F.col("right") == F.col("r"))
+    blocked = stored(blocked.join(sizes, same).drop("p", "l", "r"), "blocks")
     # Large blocks: tiles within a population count, and their pairs.
-    counted = blocked.filter(F.col("size") > tile).groupBy("block", "ones").agg(F.count("*").alias("n"))
-    tiles = counted.select("block", "ones", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    crowded = blocked.filter(F.col("size") > tile)
+    counted = crowded.groupBy(*key, "ones").agg(F.count("*").alias("n"))
+    tiles = stored(counted.select(*key, "ones", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "tiles")
     mine = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    placed = blocked.filter(F.col("size") > tile).join(tiles, ["block", "ones"]).withColumn("tile", mine)
-    other = tiles.select("block", F.col("ones").alias("ones2"), "tiles").filter("tiles > 0")
-    near = tiles.select("block", F.col("ones"), F.col("tiles")).join(other.withColumnRenamed("tiles", "tiles2"), "block").filter(
-        (F.col("ones2") - F.col("ones")).between(0, radius)
-    )
-    pairs = near.select("block", "ones", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "ones2", "tiles2").select(
-        "block", "ones", "tile", "ones2", F.explode(F.sequence(F.lit(0), F.col("tiles2") - 1)).alias("tile2")
-    ).filter("ones < ones2 OR tile <= tile2").withColumn("unit", F.xxhash64("block", "ones", "tile", "ones2", "tile2"))
-    sides = pairs.select("block", "ones", "tile", "unit").union(pairs.select("block", "ones2", "tile2", "unit")).distinct()
-    large = placed.join(sides, ["block", "ones", "tile"]).select("fp", "unit")
-    small = blocked.filter(F.col("size") <= tile).select("fp", F.xxhash64("block").alias("unit"))
+    placed = crowded.join(tiles, [*key, "ones"]).withColumn("tile", mine)
+    other = tiles.select(*key, F.col("ones").alias("ones2"), F.col("tiles").alias("tiles2"))
+    near = tiles.join(other, key).filter((F.col("ones2") - F.col("ones")).between(0, radius))
+    pairs = near.select(*key, "ones", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "ones2", "tiles2").select(
+        *key, "ones", "tile", "ones2", F.explode(F.sequence(F.lit(0), F.col("tiles2") - 1)).alias("tile2")
+    ).filter("ones < ones2 OR tile <= tile2").withColumn("unit", F.xxhash64(*key, "ones", "tile", "ones2", "tile2"))
+    sides = pairs.select(*key, "ones", "tile", "unit").union(pairs.select(*key, "ones2", "tile2", "unit")).distinct()
+    large = placed.join(sides, [*key, "ones", "tile"]).select("fp", "unit")
+    small = blocked.filter(F.col("size") <= tile).select("fp", F.xxhash64(*key).alias("unit"))
     units = small.union(large)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +201,15 @@ def _compared(unit: np.ndarray, fp: np.ndarray, radius: int, tile: int) -> Itera
 
 
 def classes(prints: DataFrame, radius: int) -> DataFrame:
-    """(fp, root): the component of every distinct fingerprint that links to another one."""
-    return components(links(prints.select("fp").distinct(), radius))
+    """(node, root): the component of every distinct fingerprint that links to another one; the node as its complement."""
+    found = components(links(prints.select("fp").distinct(), radius))
+    return found.select(apart("node").alias("node"), "root")
+
+
+def with_class(prints: DataFrame, radius: int) -> DataFrame:
+    """``prints`` with ``root``, a fingerprint that stands for the component. Copies may be very many of one."""
+    roots = classes(prints, radius)
+    return prints.join(roots, apart("fp") == F.col("node"), "left").select(*prints.columns, F.coalesce("root", "fp").alias("root"))
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
@@ -213,12 +222,9 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2) -> Da
     table gives an empty result.
     """
     prints = stored(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle), "prints")
-    roots = classes(prints, radius)
-    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select(
-        "doc_id", "fp", F.coalesce("root", "fp").alias("root")
-    )
-    first = rooted.groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(first, F.col("root") == F.col("of")).select(
+    rooted = with_class(prints, radius)
+    first = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")).select(apart("root").alias("of"), "component_id")
+    return rooted.join(first, apart("root") == F.col("of")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -233,8 +239,7 @@ def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFra
     keyed = with_row_key(docs, row)
     slim = keyed.select("doc_id", "text", F.col(row).alias("row"))
     prints = stored(fingerprints(slim, shingle), "prints")
-    roots = classes(prints, radius)
-    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = with_class(prints, radius)
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     kept = rooted.groupBy("root").agg(best.alias("best")).select(F.col("best.row").alias(kept_row))
     return keyed.join(kept, F.col(row) == F.col(kept_row), "left_semi").select(*docs.columns)
