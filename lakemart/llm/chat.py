@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.llm.common import apart
+
 END = "<|end|>"
 
 
@@ -55,7 +57,8 @@ def maximal(turns: DataFrame) -> DataFrame:
     ends = hashes.filter("place = n - 1")
     # Conversations often begin alike: one row per inner prefix is enough.
     inner = hashes.filter("place < n - 1").select("place", "h1", "h2").distinct()
-    longest = ends.join(inner, ["place", "h1", "h2"], "left_anti")
+    inner = inner.select(F.col("place").alias("p"), apart("h1").alias("g1"), F.col("h2").alias("g2"))
+    longest = ends.join(inner, (F.col("place") == F.col("p")) & (apart("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")), "left_anti")
     return longest.groupBy("n", "h1", "h2").agg(
         F.min(F.struct(F.col("conv_id").isNull(), "conv_id", "key")).alias("first"), F.count("*").alias("n_copies")
     ).select(F.col("first.key").alias("key"), F.col("n").alias("n_turns"), "n_copies")
