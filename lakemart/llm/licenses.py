@@ -1,10 +1,10 @@
 """Operator 5: licences by ordered signature rules, with DataFrame functions only.
 
-A rule is a regular expression over the words of a text, with a label, a
-priority and the words without which it cannot match. Rules come from a table
-of licence names and a table of ways to refer to a licence. A text is first
-looked at for a few syllables that every rule needs, then each rule for its
-words, and only the rules that are left are run. Of the places found, one that
+A rule is a regular expression over the words of a text, with a label and a
+priority. Rules come from a table of licence names and a table of ways to refer
+to a licence. From each expression follow sets of keywords of which every match
+has one. The words of a text are first searched for a few strings of which every
+match has one, then for the keywords, and only the rules that are left are run. Of the places found, one that
 lies inside another of the same or a better priority is dropped, so "GNU
 General Public License version 3" isn't a mention of some other version, too.
 Base phrases are counted besides; their labels always stay.
@@ -33,108 +33,171 @@ _OR = "(?: or(?: at your option)?(?: any)? later(?: versions?)?| only)?"
 _CC = "(?:cc|creative commons)"
 _LIC = "(?: public)?(?: licen[cs]es?)?"
 
-#: Names: label, pattern over words, a word that must occur, and the words of the SPDX identifier.
-NAMES: list[tuple[str, str, str, str]] = [
-    ("mit", "(?:mit|mit x11|expat)", "mit", "mit"),
-    ("mit-0", "mit(?: no attribution| 0)", "mit", "mit 0"),
-    ("expat", "expat", "expat", "mit"),
-    ("apache-2", f"apache(?: software)?(?: foundation)?(?: licen[cs]e)?{_V} ?2(?: 0)?", "apache", "apache 2 0"),
-    ("apache-1.1", f"apache(?: software)?(?: licen[cs]e)?{_V} 1 1", "apache", "apache 1 1"),
-    ("apache", "apache(?: software)?(?: foundation)?", "apache", "apache 1 0"),
-    ("gpl-3", f"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?3(?: 0)?{_OR}", "3", "gpl 3 0(?: only| or later)?"),
-    ("gpl-2", f"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?2(?: 0)?{_OR}", "2", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3", "gplv3", "gplv3", "gplv3"),
-    ("gpl-2", "gplv2", "gplv2", "gplv2"),
-    ("gpl-1", f"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?1(?: 0)?{_OR}", "1", "gpl 1 0(?: only| or later)?"),
-    ("gpl", "(?:the )?gnu (?:general public licen[cs]e|gpl)", "gnu", "gpl"),
-    ("agpl-3", f"(?:gnu )?(?:affero general public licen[cs]e|agpl){_V} ?3(?: 0)?{_OR}", "3", "agpl 3 0(?: only| or later)?"),
-    ("agpl", "(?:gnu )?affero general public", "affero", "agpl 1 0"),
-    ("lgpl-3", f"(?:gnu )?(?:lesser general public licen[cs]e|lgpl){_V} ?3(?: 0)?{_OR}", "3", "lgpl 3 0(?: only| or later)?"),
-    ("lgpl-2.1", f"(?:gnu )?(?:lesser general public licen[cs]e|lgpl){_V} ?2 1{_OR}", "2", "lgpl 2 1(?: only| or later)?"),
-    ("lgpl-2", f"(?:gnu )?(?:library general public licen[cs]e|lgpl){_V} ?2(?: 0)?{_OR}", "2", "lgpl 2 0(?: only| or later)?"),
-    ("lgpl", "(?:gnu )?(?:lesser|library) general public", "general", "lgpl"),
-    ("gfdl-1.3", f"(?:gnu )?free documentation licen[cs]e{_V} 1 3{_OR}", "documentation", "gfdl 1 3(?: only| or later)?"),
-    ("gfdl-1.2", f"(?:gnu )?free documentation licen[cs]e{_V} 1 2{_OR}", "documentation", "gfdl 1 2(?: only| or later)?"),
-    ("gfdl", "(?:gnu )?free documentation", "documentation", "gfdl 1 1"),
-    ("bsd-2-clause", "(?:(?:2|two) clause (?:free )?bsd|simplified bsd|freebsd)", "bsd", "bsd 2 clause"),
-    ("bsd-3-clause", "(?:(?:3|three) clause bsd|new bsd|modified bsd|revised bsd)", "bsd", "bsd 3 clause"),
-    ("bsd-4-clause", "(?:(?:4|four) clause bsd|original bsd|old bsd)", "bsd", "bsd 4 clause"),
-    ("0bsd", "(?:0bsd|zero clause bsd)", "0bsd", "0bsd"),
-    ("bsd", "bsd(?: style)?", "bsd", "bsd 1 clause"),
-    ("isc", "isc", "isc", "isc"),
-    ("mpl-2", f"mozilla public licen[cs]e{_V} 2(?: 0)?", "mozilla", "mpl 2 0"),
-    ("mpl-1.1", f"mozilla public licen[cs]e{_V} 1 1", "mozilla", "mpl 1 1"),
-    ("mpl", "mozilla public", "mozilla", "mpl 1 0"),
-    ("epl-2", f"eclipse public licen[cs]e{_V} 2(?: 0)?", "eclipse", "epl 2 0"),
-    ("epl-1", f"eclipse public licen[cs]e{_V} 1(?: 0)?", "eclipse", "epl 1 0"),
-    ("epl", "eclipse public", "eclipse", "epl"),
-    ("cddl-1.1", f"common development and distribution licen[cs]e{_V} 1 1", "distribution", "cddl 1 1"),
-    ("cddl-1", f"common development and distribution licen[cs]e{_V} 1(?: 0)?", "distribution", "cddl 1 0"),
-    ("cddl", "common development and distribution", "distribution", "cddl"),
-    ("cc0", f"{_CC} ?(?:0|zero)(?: 1 0)?(?: universal)?", "cc", "cc0 1 0"),
-    ("cc0", "cc0(?: 1 0)?(?: universal)?", "cc0", "cc0 1 0"),
-    ("cc-by-nc-nd", f"{_CC} (?:by nc nd|attribution non ?commercial no ?deriv(?:s|atives))(?: [234] [05])?(?: international)?", "nc", "cc by nc nd [234] [05]"),
-    ("cc-by-nc-sa", f"{_CC} (?:by nc sa|attribution non ?commercial share ?alike)(?: [234] [05])?(?: international)?", "nc", "cc by nc sa [234] [05]"),
-    ("cc-by-nc", f"{_CC} (?:by nc|attribution non ?commercial)(?: [234] [05])?(?: international)?", "nc", "cc by nc [234] [05]"),
-    ("cc-by-nd", f"{_CC} (?:by nd|attribution no ?deriv(?:s|atives))(?: [234] [05])?(?: international)?", "nd", "cc by nd [234] [05]"),
-    ("cc-by-sa", f"{_CC} (?:by sa|attribution share ?alike)(?: [234] [05])?(?: international)?", "sa", "cc by sa [234] [05]"),
-    ("cc-by", f"{_CC} (?:by|attribution)(?: [234] [05])?(?: international)?", "by", "cc by [234] [05]"),
-    ("creative-commons", "creative commons", "commons", "cc pddc"),
-    ("unlicense", "unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "(?:wtfpl|do what the f[a-z]* you want to public)", "public", "wtfpl"),
-    ("zlib", "(?:zlib|zlib libpng)", "zlib", "zlib"),
-    ("libpng", "libpng", "libpng", "libpng 2 0"),
-    ("bsl-1", f"boost(?: software)?(?: licen[cs]e)?{_V}(?: 1 0)?", "boost", "bsl 1 0"),
-    ("artistic-2", f"artistic(?: licen[cs]e)?{_V} 2(?: 0)?", "artistic", "artistic 2 0"),
-    ("artistic", "artistic", "artistic", "artistic 1 0"),
-    ("python-2", "(?:python software foundation|psf)", "python", "python 2 0"),
-    ("ofl-1.1", f"(?:sil )?open font licen[cs]e{_V}(?: 1 1)?", "font", "ofl 1 1"),
-    ("odbl", f"open (?:data commons open )?database licen[cs]e{_V}(?: 1 0)?", "database", "odbl 1 0"),
-    ("odc-by", f"open data commons attribution(?: licen[cs]e)?{_V}(?: 1 0)?", "commons", "odc by 1 0"),
-    ("pddl", "public domain dedication and", "dedication", "pddl 1 0"),
-    ("eupl-1.2", f"european union public licen[cs]e{_V}(?: 1 2)?", "union", "eupl 1 2"),
-    ("ms-pl", "microsoft public", "microsoft", "ms pl"),
-    ("ms-rl", "microsoft reciprocal", "microsoft", "ms rl"),
-    ("afl-3", f"academic free licen[cs]e{_V}(?: 3 0)?", "academic", "afl 3 0"),
-    ("osl-3", f"open software licen[cs]e{_V}(?: 3 0)?", "software", "osl 3 0"),
-    ("postgresql", "postgresql", "postgresql", "postgresql"),
-    ("openssl", "openssl", "openssl", "openssl"),
-    ("php-3", f"php(?: licen[cs]e)?{_V}(?: 3 0[01]?)?", "php", "php 3 01"),
-    ("ruby", "ruby", "ruby", "ruby"),
-    ("llama", "(?:llama|llama [23]) community", "llama", "llama"),
-    ("openrail", "(?:bigscience |creativeml )?open ?rail(?: m)?", "rail", "openrail"),
-    ("sspl-1", f"server side public licen[cs]e{_V}(?: 1)?", "server", "sspl 1 0"),
-    ("busl-1.1", f"business source licen[cs]e{_V}(?: 1 1)?", "business", "busl 1 1"),
+#: Names: label, pattern over words, and the words of the SPDX identifier.
+NAMES: list[tuple[str, str, str]] = [
+    ("mit", "(?:mit|mit x11|expat)", "mit"),
+    ("mit-0", "mit(?: no attribution| 0)", "mit 0"),
+    ("expat", "expat", "mit"),
+    ("apache-2", f"apache(?: software)?(?: foundation)?(?: licen[cs]e)?{_V} ?2(?: 0)?", "apache 2 0"),
+    ("apache-1.1", f"apache(?: software)?(?: licen[cs]e)?{_V} 1 1", "apache 1 1"),
+    ("apache", "apache(?: software)?(?: foundation)?", "apache 1 0"),
+    ("gpl-3", f"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?3(?: 0)?{_OR}", "gpl 3 0(?: only| or later)?"),
+    ("gpl-2", f"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?2(?: 0)?{_OR}", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3", "gplv3", "gplv3"),
+    ("gpl-2", "gplv2", "gplv2"),
+    ("gpl-1", f"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?1(?: 0)?{_OR}", "gpl 1 0(?: only| or later)?"),
+    ("gpl", "(?:the )?gnu (?:general public licen[cs]e|gpl)", "gpl"),
+    ("agpl-3", f"(?:gnu )?(?:affero general public licen[cs]e|agpl){_V} ?3(?: 0)?{_OR}", "agpl 3 0(?: only| or later)?"),
+    ("agpl", "(?:gnu )?affero general public", "agpl 1 0"),
+    ("lgpl-3", f"(?:gnu )?(?:lesser general public licen[cs]e|lgpl){_V} ?3(?: 0)?{_OR}", "lgpl 3 0(?: only| or later)?"),
+    ("lgpl-2.1", f"(?:gnu )?(?:lesser general public licen[cs]e|lgpl){_V} ?2 1{_OR}", "lgpl 2 1(?: only| or later)?"),
+    ("lgpl-2", f"(?:gnu )?(?:library general public licen[cs]e|lgpl){_V} ?2(?: 0)?{_OR}", "lgpl 2 0(?: only| or later)?"),
+    ("lgpl", "(?:gnu )?(?:lesser|library) general public", "lgpl"),
+    ("gfdl-1.3", f"(?:gnu )?free documentation licen[cs]e{_V} 1 3{_OR}", "gfdl 1 3(?: only| or later)?"),
+    ("gfdl-1.2", f"(?:gnu )?free documentation licen[cs]e{_V} 1 2{_OR}", "gfdl 1 2(?: only| or later)?"),
+    ("gfdl", "(?:gnu )?free documentation", "gfdl 1 1"),
+    ("bsd-2-clause", "(?:(?:2|two) clause (?:free )?bsd|simplified bsd|freebsd)", "bsd 2 clause"),
+    ("bsd-3-clause", "(?:(?:3|three) clause bsd|new bsd|modified bsd|revised bsd)", "bsd 3 clause"),
+    ("bsd-4-clause", "(?:(?:4|four) clause bsd|original bsd|old bsd)", "bsd 4 clause"),
+    ("0bsd", "(?:0bsd|zero clause bsd)", "0bsd"),
+    ("bsd", "bsd(?: style)?", "bsd 1 clause"),
+    ("isc", "isc", "isc"),
+    ("mpl-2", f"mozilla public licen[cs]e{_V} 2(?: 0)?", "mpl 2 0"),
+    ("mpl-1.1", f"mozilla public licen[cs]e{_V} 1 1", "mpl 1 1"),
+    ("mpl", "mozilla public", "mpl 1 0"),
+    ("epl-2", f"eclipse public licen[cs]e{_V} 2(?: 0)?", "epl 2 0"),
+    ("epl-1", f"eclipse public licen[cs]e{_V} 1(?: 0)?", "epl 1 0"),
+    ("epl", "eclipse public", "epl"),
+    ("cddl-1.1", f"common development and distribution licen[cs]e{_V} 1 1", "cddl 1 1"),
+    ("cddl-1", f"common development and distribution licen[cs]e{_V} 1(?: 0)?", "cddl 1 0"),
+    ("cddl", "common development and distribution", "cddl"),
+    ("cc0", f"{_CC} ?(?:0|zero)(?: 1 0)?(?: universal)?", "cc0 1 0"),
+    ("cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
+    ("cc-by-nc-nd", f"{_CC} (?:by nc nd|attribution non ?commercial no ?deriv(?:s|atives))(?: [234] [05])?(?: international)?", "cc by nc nd [234] [05]"),
+    ("cc-by-nc-sa", f"{_CC} (?:by nc sa|attribution non ?commercial share ?alike)(?: [234] [05])?(?: international)?", "cc by nc sa [234] [05]"),
+    ("cc-by-nc", f"{_CC} (?:by nc|attribution non ?commercial)(?: [234] [05])?(?: international)?", "cc by nc [234] [05]"),
+    ("cc-by-nd", f"{_CC} (?:by nd|attribution no ?deriv(?:s|atives))(?: [234] [05])?(?: international)?", "cc by nd [234] [05]"),
+    ("cc-by-sa", f"{_CC} (?:by sa|attribution share ?alike)(?: [234] [05])?(?: international)?", "cc by sa [234] [05]"),
+    ("cc-by", f"{_CC} (?:by|attribution)(?: [234] [05])?(?: international)?", "cc by [234] [05]"),
+    ("creative-commons", "creative commons", "cc pddc"),
+    ("unlicense", "unlicense", "unlicense"),
+    ("wtfpl", "(?:wtfpl|do what the f[a-z]* you want to public)", "wtfpl"),
+    ("zlib", "(?:zlib|zlib libpng)", "zlib"),
+    ("libpng", "libpng", "libpng 2 0"),
+    ("bsl-1", f"boost(?: software)?(?: licen[cs]e)?{_V}(?: 1 0)?", "bsl 1 0"),
+    ("artistic-2", f"artistic(?: licen[cs]e)?{_V} 2(?: 0)?", "artistic 2 0"),
+    ("artistic", "artistic", "artistic 1 0"),
+    ("python-2", "(?:python software foundation|psf)", "python 2 0"),
+    ("ofl-1.1", f"(?:sil )?open font licen[cs]e{_V}(?: 1 1)?", "ofl 1 1"),
+    ("odbl", f"open (?:data commons open )?database licen[cs]e{_V}(?: 1 0)?", "odbl 1 0"),
+    ("odc-by", f"open data commons attribution(?: licen[cs]e)?{_V}(?: 1 0)?", "odc by 1 0"),
+    ("pddl", "public domain dedication and", "pddl 1 0"),
+    ("eupl-1.2", f"european union public licen[cs]e{_V}(?: 1 2)?", "eupl 1 2"),
+    ("ms-pl", "microsoft public", "ms pl"),
+    ("ms-rl", "microsoft reciprocal", "ms rl"),
+    ("afl-3", f"academic free licen[cs]e{_V}(?: 3 0)?", "afl 3 0"),
+    ("osl-3", f"open software licen[cs]e{_V}(?: 3 0)?", "osl 3 0"),
+    ("postgresql", "postgresql", "postgresql"),
+    ("openssl", "openssl", "openssl"),
+    ("php-3", f"php(?: licen[cs]e)?{_V}(?: 3 0[01]?)?", "php 3 01"),
+    ("ruby", "ruby", "ruby"),
+    ("llama", "(?:llama|llama [23]) community", "llama"),
+    ("openrail", "(?:bigscience |creativeml )?open ?rail(?: m)?", "openrail"),
+    ("sspl-1", f"server side public licen[cs]e{_V}(?: 1)?", "sspl 1 0"),
+    ("busl-1.1", f"business source licen[cs]e{_V}(?: 1 1)?", "busl 1 1"),
 ]
 
-#: Ways to refer to a licence: priority, confidence, pattern around the name, and a syllable that must occur.
-FORMS: list[tuple[int, float, str, str]] = [
-    (1, 1.0, "spdx licen[cs]e identifier {spdx}", "spdx"),
-    (2, 0.95, f"(?:licen[cs]ed|released|distributed|available|published|provided|covered|shared) under (?:the )?(?:terms of (?:the )?)?{{name}}{_LIC}", "under"),
-    (2, 0.95, f"under the terms (?:and conditions )?of the {{name}}{_LIC}", "terms"),
-    (3, 0.8, "(?:subject to|governed by|according to|see) the {name}(?: public)? licen[cs]e", "licen"),
-    (4, 0.6, "{name}(?: public)? licen[cs]e", "licen"),
+#: Ways to refer to a licence: priority, confidence and the pattern around the name.
+FORMS: list[tuple[int, float, str]] = [
+    (1, 1.0, "spdx licen[cs]e identifier (?:{spdx})"),
+    (2, 0.95, "(?:licen[cs]ed under|released under|distributed under|available under|published under|provided under|covered under|shared under)"
+              f" (?:the )?(?:terms of (?:the )?)?{{name}}{_LIC}"),
+    (2, 0.95, f"under the terms (?:and conditions )?of the {{name}}{_LIC}"),
+    (3, 0.8, "(?:subject to|governed by|according to|see) the {name}(?: public)? licen[cs]e"),
+    (4, 0.6, "{name}(?: public)? licen[cs]e"),
 ]
 
-#: Rules without a licence's name: label, priority, confidence, pattern, and two syllables that must occur.
-OTHERS: list[tuple[str, int, float, str, str, str]] = [
-    ("all-rights-reserved", 3, 0.7, "all rights reserved", "rights", "reserved"),
-    ("proprietary", 3, 0.7, "(?:proprietary|confidential) and (?:proprietary|confidential)", "proprietary", "confidential"),
-    ("proprietary", 3, 0.7, "(?:may not|must not) be (?:copied|reproduced|redistributed) without", "without", "copyright"),
-    ("public-domain", 3, 0.7, "(?:dedicated to|released into|placed in|in) the public domain", "public", "domain"),
-    ("gpl-3", 2, 0.95, f"gnu general public licen[cs]e{_V} ?3(?: 0)?{_OR}", "gnu", "licen"),
-    ("gpl-2", 2, 0.95, f"gnu general public licen[cs]e{_V} ?2(?: 0)?{_OR}", "gnu", "licen"),
-    ("apache-2", 3, 0.8, f"apache licen[cs]e{_V} ?2(?: 0)?", "apache", "licen"),
-    ("mit", 4, 0.6, "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted", "copy"),
-    ("bsd", 4, 0.6, "redistribution and use in source and binary forms", "redistribution", "binary"),
-    ("isc", 4, 0.6, "permission to use copy modify and or distribute this software", "permission to use", "distribute"),
-    ("copyright", 5, 0.3, "copyright(?: c)?(?: [12][0-9]{3})+", "copyright", "copyright"),
+#: Rules without a licence's name: label, priority, confidence and pattern.
+OTHERS: list[tuple[str, int, float, str]] = [
+    ("all-rights-reserved", 3, 0.7, "all rights reserved"),
+    ("proprietary", 3, 0.7, "(?:proprietary|confidential) and (?:proprietary|confidential)"),
+    ("proprietary", 3, 0.7, "(?:may|must) (?:not be copied|not be reproduced|not be redistributed) without"),
+    ("public-domain", 3, 0.7, "(?:dedicated to|released into|placed in|in) the public domain"),
+    ("gpl-3", 2, 0.95, f"gnu general public licen[cs]e{_V} ?3(?: 0)?{_OR}"),
+    ("gpl-2", 2, 0.95, f"gnu general public licen[cs]e{_V} ?2(?: 0)?{_OR}"),
+    ("apache-2", 3, 0.8, f"apache licen[cs]e{_V} ?2(?: 0)?"),
+    ("mit", 4, 0.6, "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("bsd", 4, 0.6, "redistribution and use in source and binary forms"),
+    ("isc", 4, 0.6, "permission to use copy modify and or distribute this software"),
+    ("copyright", 5, 0.3, "copyright(?: c)?(?: [12][0-9]{3})+"),
 ]
 LAST_PRIORITY = 5
 
-#: Every rule and base phrase needs one of these groups of syllables somewhere in the text.
-GATES = [["licen"], ["spdx"], ["cc", "by", "nc"], ["reserved"], ["proprietary"], ["domain"], ["under", "terms"],
-         ["hereby granted"], ["redistribution"], ["permission to use"], ["copyright"], ["ed under"]]
+#: Every match of a rule or base phrase, with the blanks around it, has all the strings of one of these groups.
+GATES = [["licen"], ["cc by nc"], ["ed under"], ["available under"], ["under the terms"], ["all rights reserved"], ["proprietary"],
+         ["confidential"], ["not be copied"], ["not be reproduced"], ["not be redistributed"], ["the public domain"],
+         ["permission is hereby granted"], ["redistribution and use"], ["permission to use copy"], ["copyright"]]
+
+#: A keyword set of more strings is cut into two.
+MOST = 6
+
+
+def _branch(pattern: str, at: int) -> tuple[set[str] | None, list[set[str]], int]:
+    """One branch from ``at`` on: the strings it matches (None if they are too many), else sets of which every match has a string of each."""
+    run, sets, whole = {""}, [], True
+    while at < len(pattern) and pattern[at] not in "|)":
+        group = pattern.startswith("(?:", at)
+        if group:
+            strings, inner, at = _branches(pattern, at + 3)
+        elif pattern[at] == "[":
+            end = pattern.index("]", at)
+            listed = pattern[at + 1 : end]
+            strings, inner, at = None if "-" in listed else set(listed), [], end
+        else:
+            strings, inner = {pattern[at]}, []
+        at += 1
+        mark = pattern[at : at + 1]
+        if mark in ("?", "*"):
+            strings, inner = {*strings, ""} if strings and mark == "?" else None, []
+        elif mark in ("+", "{"):
+            strings, inner = None, [strings] if strings else inner
+        if mark and mark in "?*+{":
+            at = pattern.index("}", at) + 1 if mark == "{" else at + 1
+        if strings and not group and len(run) * len(strings) <= MOST:
+            run = {a + b for a in run for b in strings}
+        else:  # Groups have sets of their own: rules share more of them.
+            sets += [run, *inner, *([strings] if strings and group else [])]
+            run, whole = strings if strings and not group else {""}, False
+    return (run, [], at) if whole else (None, [*sets, run], at)
+
+
+def _branches(pattern: str, at: int) -> tuple[set[str] | None, list[set[str]], int]:
+    """The same for all branches up to the closing bracket, and its place."""
+    found = []
+    while not found or pattern[at : at + 1] == "|":
+        strings, sets, at = _branch(pattern, at + bool(found))
+        found.append([strings] if strings is not None else sets)
+    if len(found) == 1:
+        return strings, sets, at
+    every = set().union(*(sets[0] for sets in found))
+    if all(len(sets) == 1 for sets in found) and len(every) <= MOST:
+        return every, [], at
+    # A branch's set whose shortest string is the longest says most.
+    return None, [set().union(*(max(sets, key=lambda x: min(map(len, x))) for sets in found))], at
+
+
+def keywords(pattern: str) -> tuple[tuple[str, ...], ...]:
+    """Sets of strings; every match of ``pattern``, with the blanks around it, has at least one string of each set.
+
+    They follow from the pattern: it may have literals, ``(?:…|…)``, ``[…]``, ``?``, ``*``, ``+`` and ``{n}``, no escapes or dots.
+    """
+    strings, sets, _ = _branches(f" {pattern} ", 0)
+    out = []
+    for one in sets if strings is None else [strings]:
+        short = sorted(x for x in one if not any(y != x and y in x for y in one))
+        if all(x.strip() for x in short) and tuple(short) not in out:
+            out.append(tuple(short))
+    return tuple(sorted(out, key=lambda x: (len(x), -len(x[0]))))
 
 
 @dataclass(frozen=True)
@@ -143,18 +206,25 @@ class Rule:
     priority: int
     confidence: float
     pattern: str
-    needs: tuple[str, str]
     base: bool = False
 
+    @property
+    def keys(self) -> tuple[tuple[str, ...], ...]:
+        return keywords(self.pattern)
+
+    @property
+    def needs(self) -> tuple[str, str]:
+        """Two strings that every match has, with the blanks around it; empty where there is none."""
+        first, second, *_ = [*(k[0] for k in self.keys if len(k) == 1), "", ""]
+        return first, second
+
 
 def rules() -> list[Rule]:
     """Base phrases first, then every name in every form, then the others."""
-    out = [Rule(label, 0, 1.0, phrase, (f" {phrase.split()[0]} ", f" {phrase.split()[-1]} "), True) for phrase, label in BASE.items()]
-    for priority, confidence, form, syllable in FORMS:
-        for label, name, word, spdx in NAMES:
-            first = "spdx" if "{spdx}" in form else word
-            out.append(Rule(label, priority, confidence, form.format(name=f"(?:{name})", spdx=spdx), (first, syllable)))
-    out += [Rule(label, priority, confidence, pattern, (a, b)) for label, priority, confidence, pattern, a, b in OTHERS]
+    out = [Rule(label, 0, 1.0, phrase, True) for phrase, label in BASE.items()]
+    for priority, confidence, form in FORMS:
+        out += [Rule(label, priority, confidence, form.format(name=f"(?:{name})", spdx=spdx)) for label, name, spdx in NAMES]
+    out += [Rule(label, priority, confidence, pattern) for label, priority, confidence, pattern in OTHERS]
     return out
 
 
@@ -162,13 +232,17 @@ def _literal(known: Sequence[Rule]) -> Column:
     return F.array(*(
         F.struct(
             F.lit(i).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence"),
-            F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"), F.lit(r.needs[0]).alias("need1"), F.lit(r.needs[1]).alias("need2"),
+            F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"), F.array(*(_strings(k) for k in r.keys)).alias("keys"),
             F.lit(r.base).alias("base"),
         )
         for i, r in enumerate(known)
     ))
 
 
+def _strings(values: Sequence[str]) -> Column:
+    return F.array(*map(F.lit, values))
+
+
 def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """One row per document: the columns ``keep``, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -179,20 +253,25 @@ def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text")
     """
     row, norm = free_name(docs, "_row"), "_norm"
     kept = F.struct(*(F.col(c) for c in keep)).alias("kept")
-    lower = F.lower(F.col(text))
+    words = F.regexp_replace(F.translate(F.col(text), UPPER, LOWER), BETWEEN, " ")
+    normal = docs.select(
+        kept, F.monotonically_increasing_id().alias(row),
+        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
+        F.concat(F.lit(" "), F.trim(words), F.lit(" ")).alias(norm),
+    )
     gate = F.lit(False)
     for group in GATES:
         every = F.lit(True)
         for syllable in group:
-            every = every & F.contains(lower, F.lit(syllable))
+            every = every & F.contains(F.col(norm), F.lit(syllable))
         gate = gate | every
-    words = F.regexp_replace(F.translate(F.col(text), UPPER, LOWER), BETWEEN, " ")
-    gated = docs.select(
-        kept, F.monotonically_increasing_id().alias(row),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
-        F.when(gate, F.concat(F.lit(" "), F.trim(words), F.lit(" "))).alias(norm),
-    )
-    found = F.filter(_literal(rules()), lambda r: F.contains(F.col(norm), r["need1"]) & F.contains(F.col(norm), r["need2"]))
+    gated = normal.select("kept", row, "n_words", F.when(gate, F.col(norm)).alias(norm))
+    known = rules()
+    # Every keyword is looked for once; the array around makes them a variable, or Spark would look again for each rule.
+    there = F.filter(_strings(sorted({x for r in known for k in r.keys for x in k})), lambda x: F.contains(F.col(norm), x))
+    found = F.flatten(F.transform(
+        F.array(there), lambda there: F.filter(_literal(known), lambda r: F.forall(r["keys"], lambda k: F.arrays_overlap(k, there)))
+    ))
     tried = gated.select("kept", row, "n_words", norm, F.explode_outer(found).alias("r"))
     # Between two matches stands a piece: lengths and blanks of both give the places.
     match = F.regexp_extract_all(F.col(norm), F.col("r.pattern"), F.lit(0))

@@ -193,6 +193,58 @@ def test_license_rules():
         assert any(all(any(s in n for n in (*r.needs, r.pattern)) for s in gate) for gate in licenses.GATES), r
 
 
+def some_match(rng, tree):
+    """A random string that a parsed regular expression matches."""
+    out = ""
+    for kind, value in tree:
+        if kind is re._constants.LITERAL:
+            out += chr(value)
+        elif kind is re._constants.IN:
+            picked, of = rng.choice(value)
+            out += chr(of) if picked is re._constants.LITERAL else chr(rng.randint(*of))
+        elif kind is re._constants.SUBPATTERN:
+            out += some_match(rng, value[-1])
+        elif kind is re._constants.BRANCH:
+            out += some_match(rng, rng.choice(value[1]))
+        else:
+            assert kind is re._constants.MAX_REPEAT
+            out += "".join(some_match(rng, value[2]) for _ in range(rng.randint(value[0], min(value[1], value[0] + 2))))
+    return out
+
+
+def test_license_keywords_follow_from_every_match():
+    rng = random.Random(6)
+    for r in licenses.rules():
+        tree = re._parser.parse(r.pattern)
+        for _ in range(60):
+            text = f" {some_match(rng, tree)} "
+            assert all(any(x in text for x in k) for k in r.keys) and all(n in text for n in r.needs), (r, text)
+        # One set of keywords opens a gate, whichever of them stands in the text.
+        assert any(all(any(all(s in x for s in gate) for gate in licenses.GATES) for x in k) for k in r.keys), r
+
+
+def test_licenses_without_prefilter(spark):
+    """Texts of every rule and every way to write it, against all regular expressions."""
+    rng = random.Random(8)
+    written = [
+        "available under the GPLv3", "distributed\nunder the GNU GPL version 2", "Creative Commons Attribution ShareAlike License",
+        "Creative Commons Attribution 4.0 license", "creative commons zero license", "creative commons attribution noncommercial license",
+        "wtfpl license", "PSF license", "the zero clause BSD license", "must not be copied without", "proprietary and proprietary",
+    ]
+    for r in licenses.rules():
+        for _ in range(2):
+            match = some_match(rng, re._parser.parse(r.pattern)).split(" ")
+            written.append("".join(rng.choice([w, w.upper(), w.title()]) + rng.choice([" ", "\n", ", ", "  ", "-"]) for w in match))
+    docs = spark.createDataFrame(list(enumerate(written)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(docs).collect()}
+    known = [(i, r, re.compile(f"(?<= )(?:{r.pattern})(?= )")) for i, r in enumerate(licenses.rules())]
+    for n, text in enumerate(written):
+        norm = f" {' '.join(re.findall('[a-z0-9]+', text.lower()))} "
+        hits = sorted(((m.start(), -m.end(), r.priority, i, r) for i, r, p in known for m in p.finditer(norm)), key=lambda h: h[:4])
+        left = [h[4] for k, h in enumerate(hits) if h[4].base or not any(e[2] <= h[2] and e[1] <= h[1] for e in hits[:k])]
+        assert left and found[n] == (",".join(sorted({r.label for r in left})), max(r.confidence for r in left)), text
+
+
 # 8 ------------------------------------------------------------------------------------------------------------------
 
 
