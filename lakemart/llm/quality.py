@@ -4,9 +4,13 @@ Each rule rejects a document if a measure of its text is above a cutoff. The
 cutoffs are chosen on labelled documents, per stratum (language): among fixed
 candidates the strictest for which the share of good documents that it rejects
 is below ``risk``, shown by an exact binomial test. The tests of all strata,
-rules and candidates share one error probability (Bonferroni), so with
-probability 1 - ``error`` every chosen cutoff keeps its promise. Where there
-are too few labels to show it, a rule has no cutoff and rejects nothing.
+and rules share one error probability (Bonferroni); the candidates of a rule are
+tested in a fixed sequence from lenient to strict up to the first that fails,
+which costs nothing. So with probability 1 - ``error`` every chosen cutoff keeps
+its promise. A stratum with too few labels to show anything, or none, takes
+the cutoff shown on the good documents of all strata together, one more group in
+the count of tests; that one promises the risk over all of them, not for each. Where
+the stratum's own labels speak against it, the next more lenient candidate is taken.
 """
 
 from __future__ import annotations
@@ -138,28 +142,65 @@ def most_rejected(n: int, risk: float, error: float) -> int:
     return lo
 
 
-def cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, one cutoff per rule) from good documents (stratum, one value per rule); NULL where none is shown.
+def most_likely(n: int, risk: float, error: float) -> int:
+    """The largest number of rejections among ``n`` good documents that doesn't speak against the rate ``risk``.
 
-    Per stratum the table has the number of documents above each candidate, one
-    aggregation. The strictest candidate wins that rejects no more documents
-    than the test allows.
+    More would have at most probability ``error`` at that rate.
     """
-    ship(holdout.sparkSession)
-    counts = holdout.groupBy("stratum").agg(
+    lo, hi = -1, n
+    while hi - lo > 1:
+        middle = (lo + hi) // 2
+        lo, hi = (lo, middle) if 1 - tail(middle, n, risk) <= error else (middle, hi)
+    return hi
+
+
+def _counted(holdout: DataFrame) -> DataFrame:
+    """Per stratum n and the number of documents above each candidate, one aggregation."""
+    return holdout.groupBy("stratum").agg(
         F.count("*").alias("n"),
         *(F.sum((F.col(rule) > c).cast("long")).alias(f"{rule}_{c}") for rule, steps in RULES.items() for c in steps),
     )
-    strata = counts.withColumn("strata", F.count("*").over(Window.partitionBy()))  # one row per stratum
-    tests = sum(map(len, RULES.values()))
-
-    allowed = F.udf(lambda n, strata: most_rejected(n, risk, error / (tests * strata)), "long")
-    limited = strata.withColumn("allowed", allowed("n", "strata"))
-    first = {
-        rule: F.coalesce(*(F.when(F.col(f"{rule}_{c}") <= F.col("allowed"), F.lit(c)) for c in steps)).alias(f"cut_{rule}")
-        for rule, steps in RULES.items()
-    }
-    return limited.select("stratum", *first.values())
+
+
+def _tested(counts: DataFrame, risk: float, error: float) -> DataFrame:
+    """``counts``, one row per stratum, with the rejections ``allowed``, those ``likely``, and pool_allowed and counts of the pool."""
+    names = [f"{rule}_{c}" for rule, steps in RULES.items() for c in steps]
+    everything = Window.partitionBy()
+    pooled = counts.withColumns({f"pool_{x}": F.sum(x).over(everything) for x in ["n", *names]})
+    # Only strata with labels are tested; the pool is one more.
+    groups = pooled.withColumn("groups", F.sum((F.col("n") > 0).cast("long")).over(everything) + 1)
+    allowed = F.udf(lambda n, groups: most_rejected(n, risk, error / (len(RULES) * groups)), "long")
+    likely = F.udf(lambda n: most_likely(n, risk, error), "long")
+    return groups.withColumns({"allowed": allowed("n", "groups"), "pool_allowed": allowed("pool_n", "groups"), "likely": likely("n")})
+
+
+def _own(rule: str) -> Column:
+    return F.coalesce(*(F.when(F.col(f"{rule}_{c}") <= F.col("allowed"), F.lit(c)) for c in RULES[rule]))
+
+
+def _pooled(rule: str) -> Column:
+    fits = lambda c: (F.col(f"pool_{rule}_{c}") <= F.col("pool_allowed")) & (F.col(f"{rule}_{c}") <= F.col("likely"))
+    return F.coalesce(*(F.when(fits(c), F.lit(c)) for c in RULES[rule]))
+
+
+def cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """(stratum, one cutoff per rule) from good documents (stratum, one value per rule); NULL where its own labels show none.
+
+    The strictest candidate wins that rejects no more documents than the test
+    allows; a stricter one rejects as many at least, so all more lenient ones
+    pass, too.
+    """
+    ship(holdout.sparkSession)
+    return _tested(_counted(holdout), risk, error).select("stratum", *(_own(rule).alias(f"cut_{rule}") for rule in RULES))
+
+
+def limits(strata: DataFrame, holdout: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """(stratum, one cutoff per rule) for each of ``strata``: its own, or the pooled one where it has too few labels for any."""
+    ship(holdout.sparkSession)
+    counts = _counted(holdout).withColumnRenamed("stratum", "_of")
+    every = strata.select("stratum").distinct().join(counts, F.col("stratum").eqNullSafe(F.col("_of")), "left").drop("_of")
+    tested = _tested(every.fillna(0, [c for c in counts.columns if c != "_of"]), risk, error)
+    return tested.select("stratum", *(F.when(F.col("allowed") < 0, _pooled(rule)).otherwise(_own(rule)).alias(f"cut_{rule}") for rule in RULES))
 
 
 def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
@@ -167,8 +208,8 @@ def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float
 
     Cutoffs come from the documents labelled good (``quality`` 1 in every label
     of the id) that the base rules keep. A document without language is in the
-    stratum NULL; a stratum without labels has no cutoffs. NULL and blank texts
-    fail the base rules, as they have no words. Repeated rows are judged alike.
+    stratum NULL; a stratum with too few labels, or none, has the pooled cutoffs.
+    NULL and blank texts fail the base rules, as they have no words. Repeated rows are judged alike.
     Labels of unknown ids are ignored; empty tables give empty results.
     """
     rows = stored(
@@ -178,8 +219,8 @@ def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float
     )
     good = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.min("quality").alias("quality")).filter("quality = 1")
     holdout = rows.filter(~F.col("base_failed")).join(good.select(apart("labelled").alias("good")), apart("doc_id") == F.col("good"), "left_semi")
-    limits = cutoffs(holdout, risk, error).withColumnRenamed("stratum", "of")
-    ruled = rows.join(limits, F.col("stratum").eqNullSafe(F.col("of")), "left")
+    cuts = limits(rows, holdout, risk, error).withColumnRenamed("stratum", "of")
+    ruled = rows.join(cuts, F.col("stratum").eqNullSafe(F.col("of")), "left")
     failed = F.filter(F.array(*(F.when(F.col(rule) > F.col(f"cut_{rule}"), F.lit(rule)) for rule in RULES)), lambda r: r.isNotNull())
     return ruled.select(
         "doc_id", *MEASURES, "base_failed", (~F.col("base_failed") & (F.size(failed) == 0)).alias("kept"), F.array_join(failed, ",").alias("failed_rules")

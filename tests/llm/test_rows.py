@@ -291,6 +291,41 @@ def test_cutoffs_per_stratum(spark):
     assert (found["a"]["cut_symbols"], found["b"]["cut_symbols"], found["c"]["cut_symbols"]) == (20, 100, None)
 
 
+def test_cutoffs_of_small_strata_are_pooled(spark):
+    """Few or no labels: the cutoff shown on all of them, unless the stratum's own labels speak against it."""
+    good = [("a", 10, 0, 0, 5000)] * 3000 + [("b", 10, 0, 0, 5000)] * 300 + [("c", 10 if i % 20 else 90, 0, 0, 5000) for i in range(100)]
+    holdout = spark.createDataFrame(good, "stratum string, symbols long, repeats long, lines long, length long")
+    strata = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), (None,), (None,)], "stratum string")
+    found = {r["stratum"]: r["cut_symbols"] for r in quality.limits(strata, holdout).collect()}
+    # Of c, 5 of 100 are above 75 thousandths, likelier at 5 % than at 0.5 %.
+    assert found == {"a": 20, "b": 20, "c": 100, "d": 20, None: 20}
+    none = quality.limits(strata, holdout.limit(0)).collect()
+    assert len(none) == 5 and all(r["cut_symbols"] is None for r in none)
+
+
+def test_candidates_are_tested_in_sequence(spark):
+    """The labels one stratum needs: error 5 % / (4 rules x 2 groups), not by each of 30 candidates."""
+    need = next(n for n in range(1, 5000) if quality.most_rejected(n, quality.RISK, quality.ERROR / 8) >= 0)
+    for n, cut in ((need, 20), (need - 1, None)):
+        holdout = spark.createDataFrame([("a", 0, 0, 0, 0)] * n, "stratum string, symbols long, repeats long, lines long, length long")
+        assert quality.cutoffs(holdout).first()["cut_symbols"] == cut
+    assert need == 1013
+
+
+def test_bad_documents_of_a_small_stratum_are_rejected(spark):
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    docs = [(i, text(i), "en") for i in range(1300)] + [(2000, text(0) + " ###########################", "de"), (2001, text(1), None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1300)], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"]: (r["kept"], r["failed_rules"]) for r in quality.judged(docs, labels).collect()}
+    assert kept.pop(2000) == (False, "symbols") and set(kept.values()) == {(True, "")}
+
+
+def test_most_likely():
+    for n, k in ((0, 0), (1, 0), (100, 2), (307, 4), (1000, 9)):
+        assert quality.most_likely(n, 0.005, 0.05) == k
+
+
 # 9 ------------------------------------------------------------------------------------------------------------------
 
 
