@@ -38,7 +38,7 @@ from lakemart.llm.common import apart, ship, stored
 GRAM = 6
 #: Base of a second hash of windows.
 _OTHER = 0xD1342543DE82EF95
-#: A place is the first word of a block's first window, times this, plus the number of its windows.
+#: A place is the first word of a block's first window, times this or more (``packed``), plus the number of its windows.
 PLACE = 64
 
 BLOCKS = "anchor long, content long, ord long, text_hash long, place long"
@@ -47,6 +47,11 @@ WINDOWS = "hash1 long, hash2 long, ord long, text_hash long, start int"
 LAST = (1 << 63) - 1
 
 
+def packed(window: int) -> int:
+    """The factor of a place: a block holds fewer windows than a window has words."""
+    return max(PLACE, window + 1)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """Order and identity of a document; rows equal in id and text are one document."""
     return docs.select(
@@ -87,7 +92,7 @@ def _blocks(docs: DataFrame, window: int) -> DataFrame:
             order, identity = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for lo, _, data, bounds in arrays.pieces(batch.column(2)):
                 row, anchor, content, first, count = blocks_of(data, bounds, window)
-                columns = [anchor.view(np.int64), content.view(np.int64), order[lo + row], identity[lo + row], first * PLACE + count]
+                columns = [anchor.view(np.int64), content.view(np.int64), order[lo + row], identity[lo + row], first * packed(window) + count]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=BLOCKS.replace(" long", "").split(", "))
 
     return docs.select("ord", "text_hash", "text").mapInArrow(cut, BLOCKS)
@@ -104,8 +109,8 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
                     starts, ends, _ = arrays.words(data, bounds)
                     hashes = arrays.word_hashes(data, starts, ends)
                     places = np.unique(batch.column(3)[i].values.to_numpy())
-                    counts = places % PLACE
-                    at = np.repeat(places // PLACE, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                    counts = places % packed(window)
+                    at = np.repeat(places // packed(window), counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                     columns = [
                         arrays.run_hashes(hashes, at, at + window).view(np.int64),
                         arrays.run_hashes(hashes, at, at + window, _OTHER).view(np.int64),
@@ -130,7 +135,7 @@ def matches(docs: DataFrame, window: int = 20) -> DataFrame:
     earlier; ref and ref_start name the earliest place of the block, NULL for
     single windows at the boundary of factors.
     """
-    keyed = _keyed(docs)
+    keyed, factor = _keyed(docs), packed(window)
     texts = keyed.select("ord", "text_hash", "text")
     blocks = repeated_blocks(texts, window)
     where = F.struct("ord", "place")
@@ -141,8 +146,8 @@ def matches(docs: DataFrame, window: int = 20) -> DataFrame:
     mixed = contents.groupBy("anchor").agg(F.count("*").alias("contents")).filter("contents > 1").select(apart("anchor").alias("m"))
     parsed = blocks.join(index, (apart("anchor") == F.col("a")) & (F.col("content") == F.col("c")), "left")
     old = parsed.filter(F.col("first") < where).select(
-        "ord", "text_hash", F.expr(f"cast(place div {PLACE} as int)").alias("start"), (F.col("place") % PLACE).cast("int").alias("windows"),
-        F.col("first.ord").alias("ref"), F.expr(f"cast(first.place div {PLACE} as int)").alias("ref_start"),
+        "ord", "text_hash", F.expr(f"cast(place div {factor} as int)").alias("start"), (F.col("place") % factor).cast("int").alias("windows"),
+        F.col("first.ord").alias("ref"), F.expr(f"cast(first.place div {factor} as int)").alias("ref_start"),
     )
     new = parsed.filter(F.col("first").isNull() | (F.col("first") == where)).join(mixed, apart("anchor") == F.col("m"), "left_semi")
     border = new.groupBy(F.col("ord").alias("o"), F.col("text_hash").alias("t")).agg(F.collect_set("place").alias("places"))

@@ -83,6 +83,18 @@ def test_substrings_short_windows_and_edits(spark):
         assert rows(substrings.deduplicate(docs, window), *COLUMNS1) == brute_substrings(documents, window)
 
 
+def test_substrings_long_windows(spark):
+    """Windows above 68 words: a block may hold more than 63 of them."""
+    import random
+
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(5000)}" for _ in range(900)]
+    documents = [(i, " ".join(base[lo : lo + 400] + [f"own{i}"])) for i, lo in enumerate(rng.randrange(500) for _ in range(12))]
+    docs = spark.createDataFrame(documents, "doc_id long, text string")
+    for window in (69, 150):
+        assert rows(substrings.deduplicate(docs, window), *COLUMNS1) == brute_substrings(documents, window)
+
+
 # 4 ------------------------------------------------------------------------------------------------------------------
 
 
