@@ -216,8 +216,27 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
 
 
 def with_known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """``docs`` without those whose language can't be told: no letter or, if wanted, a score below ``least``."""
+    """``docs`` without those whose language can't be told: no letter or, if wanted, a score below ``least``.
+
+    If there is nothing to learn from, no text can be judged but for its
+    letters: only those that are NULL or have none are left out.
+    """
+    model = fit(training_rows(docs))
+    if model is None:
+        return with_letters(docs)
     named, scored = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
-    return predict(docs, fit(training_rows(docs)), name=named, score=scored).filter(
+    return predict(docs, model, name=named, score=scored).filter(
         (F.col(named) != UNKNOWN) & (F.col(scored) >= least)
     ).select(*docs.columns)
+
+
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without those whose text is NULL or has no letter. No shuffle."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(t) and any(_fold()[ord(c)] for c in t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakemart.llm import chat, decontaminate, language, licenses
@@ -272,6 +273,16 @@ def test_language_awkward(awkward, nothing):
     assert language.predicted_languages(nothing).count() == 0
 
 
+@pytest.mark.parametrize("blank", ["lang", "doc_id"])
+def test_language_with_nothing_to_learn_from(awkward, blank):
+    """Without a label, or an id to choose by, only texts without a letter go."""
+    docs = awkward.withColumn(blank, F.lit(None).cast(awkward.schema[blank].dataType))
+    kept = language.with_known_language(docs)
+    assert kept.columns == docs.columns
+    with_letter = [t for _, t in texts(awkward) if t and re.search(r"[^\W\d_]", t)]
+    assert sorted(t for _, t in texts(kept)) == sorted(with_letter) and len(with_letter) > 10
+
+
 def test_language_sees_the_text_only(documents):
     """Other columns may be anything when a language is predicted."""
     model = language.fit(language.training_rows(documents))
