@@ -1,8 +1,9 @@
-"""Operator 1: remove passages that stand earlier in the collection, by relative Lempel-Ziv parsing.
+"""Operator 1: remove passages that stand earlier in the collection, by hashes of blocks and windows.
 
-Every document is parsed into factors that stand in a reference, which is the
-collection itself, up to the place in question. The reference is held as
-blocks that are indexed by content, not by place:
+This stands in place of a relative Lempel-Ziv parse: no factor is extended along
+a reference, as that would need the reference's text in the task. The reference,
+the collection itself up to the place in question, is held as blocks that are
+indexed by content, not by place:
 
 * A block is made around an anchor, the run of ``GRAM`` words with the smallest
   hash in a window of ``window`` words; a block holds all words of the windows
@@ -12,7 +13,7 @@ blocks that are indexed by content, not by place:
 * Anchors that occur once are dropped: nothing in their blocks is repeated.
 * For the others the earliest place of each block content is the index, one
   aggregation. A block that stands earlier is matched as a whole; neighbouring
-  matched blocks with the same distance to their earlier place make a factor.
+  matched blocks with the same distance to their earlier place count as a factor.
 * At the boundaries of factors a block is new as a whole, though some of its
   windows may stand earlier, in another block with that anchor. Only these
   windows are hashed one by one and looked up in an index of windows.
