@@ -13,6 +13,7 @@ import corpus_pipeline
 from lakemart.llm import chat, decontaminate, language, licenses
 from lakemart.llm.common import table
 from lakemart.llm.queries import ORACLES, QUERIES
+from tests.llm.test_rows import brute_components, brute_fingerprint
 
 
 def texts(docs):
@@ -317,6 +318,48 @@ def test_pipeline(spark, testdata):
     assert not any(p in decontaminate.normalise(t) for t in kept.values() for p in bench)
 
 
+def brute_pipeline(documents, passages):
+    """(doc_id, text, shard, grown_shard) with its copies, and the rows left after each of the first three stages."""
+    left = [[d for d in documents if re.search(r"[^\W\d_]", d[1] or "")]]
+    least = {}
+    for d, root in zip(left[0], brute_components([brute_fingerprint(d[1]) for d in left[0]], 2), strict=True):
+        least[root] = min(least.get(root, d), d, key=lambda x: x[0])
+    left.append(list(least.values()))
+    near = lambda p, t: least_edits(p, t) <= decontaminate.edits_allowed(len(p), 0.1)
+    left.append([d for d in left[1] if not any(near(decontaminate.normalise(p), decontaminate.normalise(d[1])) for _, p in passages)])
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", left[2])
+    copies = dict(duck.execute(f"SELECT doc_id, n_copies FROM ({ORACLES['op6_source_mix']})").fetchall())
+    shards = {d: (s, g) for d, s, g in duck.execute(f"SELECT doc_id, shard, grown_shard FROM ({ORACLES['op9_sharding']})").fetchall()}
+    return collections.Counter({(d[0], d[1], *shards[d[0]]): copies[d[0]] for d in left[2]}), [len(x) for x in left]
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """All five stages on a small folder against plain loops and SQL, with copies and shards."""
+    rng = random.Random(9)
+    words = {"en": "the river and stone of cloud with light in house garden".split(), "de": "der fluss und stein aus wolke mit licht im haus garten".split()}
+    prose = lambda lang, n: " ".join(rng.choice(words[lang]) + rng.choice(["", "", str(rng.randrange(50))]) for _ in range(n))
+    passages = [(i, prose("en", 14)) for i in range(3)]
+    documents = []
+    for i in range(60):
+        lang = rng.choice(["en", "de"])
+        text = prose(lang, rng.randrange(5, 60))
+        if i % 7 == 3:
+            text = documents[-1][1]
+        elif i % 9 == 4:
+            text += " " + edited(rng, passages[i % 3][1], rng.randrange(5)) + " " + prose(lang, 5)
+        elif i % 10 == 8:
+            text = rng.choice([None, "", "12 34 -- 5"])
+        documents.append((100 - i, text, lang, rng.choice(["a", "b", "c", None]), len(text or "")))
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(passages, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    expected, left = brute_pipeline(documents, passages)
+    assert len(documents) > left[0] > left[1] > left[2] > 20 and {0, 1, 2} & set(expected.values()) >= {0, 2}
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    assert collections.Counter((r["doc_id"], r["text"], r["shard"], r["grown_shard"]) for r in result.collect()) == +expected
+
+
 @pytest.mark.parametrize("which", ["awkward", "nothing"])
 def test_stages_keep_columns(which, request, spark, testdata):
     docs = request.getfixturevalue(which)
