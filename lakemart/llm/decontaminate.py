@@ -8,7 +8,8 @@ diagonals, 2 (k + 1) wide and k + 1 apart; a band below the bound cannot hold th
 passage. What is left is verified by an alignment limited to the band.
 
 The passages are the query set: they are read in blocks of bounded size, and
-all documents are searched for each block, in one pass without a shuffle.
+all documents are searched for each block, in one pass without a shuffle, one
+block after another.
 Texts are compared in lower case with every run of blanks as one space.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import arrays
-from lakemart.llm.common import free_name, ship
+from lakemart.llm.common import free_name, ship, stored, with_row_key
 
 Q = 8
 #: Edits allowed per character of a passage.
@@ -109,7 +111,8 @@ class Index:
         if not total:
             return
         # Shared q-grams are counted per passage and band, some at a time: a text may repeat itself very often.
-        keys, sums = [], []
+        bands, shared = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        keys, sums, waiting = [bands], [shared], 0
         reached = np.cumsum(count)
         begin = 0
         while begin < len(at):
@@ -118,39 +121,54 @@ class Index:
             hit = np.repeat(first[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             item = self.item[hit]
             band = np.floor_divide(np.repeat(at[some], n) - self.place[hit], self.allowed[item] + 1)
-            key = (item << 40) + band + (1 << 39)
+            own, times = np.unique((item << 40) + band + (1 << 39), return_counts=True)
             # Bands overlap by half: a diagonal counts for its own and the one before.
-            for k, c in (np.unique(x, return_counts=True) for x in (key, key - 1)):
-                keys.append(k)
-                sums.append(c)
+            keys += [own, own - 1]
+            sums += [times, times]
+            waiting += 2 * len(own)
             begin = done
-        bands, where = np.unique(np.concatenate(keys), return_inverse=True)
-        shared = np.bincount(where, weights=np.concatenate(sums))
-        enough = shared >= self.need[bands >> 40]
-        for key in bands[enough].tolist():
-            i, b = key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
-            width = int(self.allowed[i]) + 1
-            lo, hi = b * width, (b + 2) * width
+            if waiting > len(bands) or begin == len(at):  # what is held grows with the bands, not with the shared q-grams
+                bands, where = np.unique(np.concatenate(keys), return_inverse=True)
+                shared = np.bincount(where, weights=np.concatenate(sums)).astype(np.int64)
+                keys, sums, waiting = [bands], [shared], 0
+        bands = bands[shared >= self.need[bands >> 40]]
+        item, band = bands >> 40, (bands & ((1 << 40) - 1)) - (1 << 39)
+        width = self.allowed[item] + 1
+        lo, hi = band * width, (band + 2) * width
+        # Where a text repeats itself its bands touch the same characters: the first of equal ones tells for all.
+        start, stop = np.maximum(lo, 0), np.clip(hi + self.lengths[item] - 1, 0, len(text))
+        same = np.stack([item, start - lo, hi - stop, arrays.run_hashes(arrays.mix(text.astype(np.uint64) + np.uint64(1)), start, stop).view(np.int64)]) if len(lo) else None
+        for j in np.sort(np.unique(same, axis=1, return_index=True)[1]).tolist() if len(lo) else ():
+            i = int(item[j])
             # A text that repeats itself fills bands: what counts is how many q-grams of the passage are there.
-            there = grams[max(0, lo) : max(0, hi + int(self.lengths[i]))]
+            there = grams[start[j] : max(0, hi[j] + int(self.lengths[i]))]
             if np.isin(self.own[i], there).sum() >= self.need[i]:
-                yield i, lo, hi
+                yield i, int(lo[j]), int(hi[j])
 
-    def search(self, text: str) -> list[tuple]:
-        """(item, start, edits) of the best occurrence of every passage that stands in a normalised text."""
+    def occurrences(self, text: str) -> Iterator[tuple[int, tuple[int, int]]]:
+        """(passage, (edits, start)) of passages that stand in a normalised text, the best of a band each."""
         points = _points(text)
-        best: dict[int, tuple[int, int]] = {}
-        for i, lo, hi in self.candidates(points):
-            allowed = int(self.allowed[i])
-            found = align(self.points[i], points, lo, hi, allowed)
-            if found[0] <= allowed and (i not in best or found < best[i]):
-                best[i] = found
         if self.short:  # too short for a q-gram: as words, exactly
             padded = f" {text} "
             for i in self.short:
                 at = padded.find(f" {self.texts[i]} ")
                 if at >= 0:
-                    best[i] = (0, at)
+                    yield i, (0, at)
+        for i, lo, hi in self.candidates(points):
+            allowed = int(self.allowed[i])
+            found = align(self.points[i], points, lo, hi, allowed)
+            if found[0] <= allowed:
+                yield i, found
+
+    def stands(self, text: str) -> bool:
+        """Whether any passage stands in a normalised text."""
+        return next(self.occurrences(text), None) is not None
+
+    def search(self, text: str) -> list[tuple]:
+        """(item, start, edits) of the best occurrence of every passage that stands in a normalised text."""
+        best: dict[int, tuple[int, int]] = {}
+        for i, found in self.occurrences(text):
+            best[i] = min(found, best.get(i, found))
         return [(self.items[i], start, edits) for i, (edits, start) in sorted(best.items())]
 
 
@@ -196,11 +214,20 @@ def align(passage: np.ndarray, text: np.ndarray, lo: int, hi: int, most: int) ->
     return int(cost[end]), int(start[end])
 
 
-def passages_in_blocks(benchmark: DataFrame, item: str, text: str, block: int = BLOCK) -> Iterator[list[tuple]]:
-    """The passages, NULL and blank ones left out, in parts of about ``block`` bytes: one at a time on the driver."""
-    rows = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text")).filter("trim(text) <> ''").distinct()
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
-    parts = max(1, -(-size // block))
+def _passages(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+    """The different passages; NULL and blank ones are left out."""
+    return benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text")).filter("trim(text) <> ''").distinct()
+
+
+def n_blocks(benchmark: DataFrame, item: str, text: str, block: int | None = None) -> int:
+    """Number of blocks that a benchmark makes; one at least."""
+    size = _passages(benchmark, item, text).agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    return max(1, -(-size // (block or BLOCK)))
+
+
+def passages_in_blocks(benchmark: DataFrame, item: str, text: str, block: int | None = None) -> Iterator[list[tuple]]:
+    """The passages in parts of about ``block`` bytes: one at a time on the driver."""
+    rows, parts = _passages(benchmark, item, text), n_blocks(benchmark, item, text, block)
     for part in range(parts):
         chosen = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         yield sorted(((r["item_id"], r["text"]) for r in chosen), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
@@ -212,29 +239,47 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET,
     ``start`` counts characters of the normalised text; the occurrence with the
     fewest edits, then the first, is told. Documents without a passage have no
     row; NULL and empty texts have none. Repeated documents have rows each;
-    passages with NULL ids are searched, too.
+    passages with NULL ids are searched, too. A very long text is searched as
+    a whole: memory grows with it and with the bands that it fills. An empty
+    table of either kind gives an empty result; other columns aren't read.
+    """
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _searched(slim, "doc_id", "long", benchmark, budget, item)
+
+
+def _searched(docs: DataFrame, key: str, kind: str, benchmark: DataFrame, budget: float, item: str) -> DataFrame:
+    """(``key``, item_id, start, edits) for ``docs`` of (key, text).
+
+    A benchmark of more than one block is searched block after block, each in a
+    job of its own whose rows are stored, so neither driver nor executors ever
+    hold more than one index.
     """
     spark = docs.sparkSession
     ship(spark)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, item_id long, start long, edits int"
-    result = None
+    schema = f"{key} {kind}, item_id long, start long, edits int"
+    names = [key, "item_id", "start", "edits"]
+    parts, blocks = [], n_blocks(benchmark, item, "text")
     for passages in passages_in_blocks(benchmark, item, "text"):
         shared = spark.sparkContext.broadcast(Index.of(passages, budget))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                rows = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
-                    rows.extend((doc_id, *found) for found in index.search(normalise(text)))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-                columns = zip(*rows, strict=True) if rows else [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "start", "edits"])
-
-        part = slim.mapInArrow(search, schema)
-        result = part if result is None else result.union(part)
-    return result
+                rows, found = [], []
+                for row, text in enumerate(_texts(batch.column(1))):
+                    for what in index.search(normalise(text)):
+                        rows.append(row)
+                        found.append(what)
+                columns = zip(*found, strict=True) if found else [[]] * 3
+                columns = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32()), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *columns], names=names)
+
+        part = docs.select(key, "text").mapInArrow(search, schema)
+        if blocks > 1:
+            part = stored(part, "passages")
+            shared.destroy()
+        parts.append(part)
+    return reduce(DataFrame.union, parts)
 
 
 def _texts(column: pa.Array) -> Iterator[str]:
@@ -242,21 +287,25 @@ def _texts(column: pa.Array) -> Iterator[str]:
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, item: str = "item_id") -> DataFrame:
-    """``docs`` without those in which a passage stands; all columns, no shuffle."""
+    """``docs`` without those in which a passage stands; all columns, clashing names too.
+
+    One block of passages needs no shuffle: texts go to Python and a flag comes
+    back. With more, the rows found block by block are stored and taken off by
+    an anti-join. NULL and empty texts stay, repeated rows are judged alike.
+    """
     spark = docs.sparkSession
     ship(spark)
-    at = docs.columns.index("text")
-    flag = free_name(docs, "_clean")
-    schema = docs.withColumn(flag, F.lit(True)).schema
-    left = docs
-    for passages in passages_in_blocks(benchmark, item, "text"):
-        shared = spark.sparkContext.broadcast(Index.of(passages, budget))
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
-            for batch in batches:
-                clean = [not index.search(normalise(text)) for text in _texts(batch.column(at))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(clean, pa.bool_())], names=schema.names)
-
-        left = left.mapInArrow(search, schema).filter(F.col(flag)).drop(flag)
-    return left
+    if n_blocks(benchmark, item, "text") > 1:
+        row, found = free_name(docs, "_row"), free_name(docs, "_found_row")
+        keyed = with_row_key(docs, row)
+        slim = keyed.select(F.col(row).alias("row"), "text")
+        dirty = _searched(slim, "row", slim.schema["row"].dataType.simpleString(), benchmark, budget, item).select(F.col("row").alias(found)).distinct()
+        return keyed.join(dirty, F.col(row) == F.col(found), "left_anti").select(*docs.columns)
+    shared = spark.sparkContext.broadcast(Index.of(next(passages_in_blocks(benchmark, item, "text")), budget))
+
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = shared.value
+        for column in texts:
+            yield pa.array([not index.stands(normalise(text)) for text in _texts(column)], pa.bool_())
+
+    return docs.filter(F.arrow_udf(clean, "boolean")("text"))

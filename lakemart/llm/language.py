@@ -142,7 +142,8 @@ def fit(docs: DataFrame, sample: int = 1600, landmarks: int = 96, lang: str = "l
     quota = max(1, sample // len(known))
     # Digests are even: below these bounds are about four times as many rows as are wanted, in any table.
     bounds = [(k["lang"], min(2**63 - 1, -(2**63) + 2**64 * 4 * quota // k["n"])) for k in known]
-    bounds = docs.sparkSession.createDataFrame(bounds, "of string, bound long")  # a row per language
+    # A row per language. As an Arrow table, as a list would start Python workers of another kind, that stay.
+    bounds = docs.sparkSession.createDataFrame(pa.table(dict(zip(("of", "bound"), map(list, zip(*bounds, strict=True)), strict=True))))
     few = slim.join(F.broadcast(bounds), (F.col("lang") == F.col("of")) & (F.col("digest") <= F.col("bound")))
     ranked = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("digest")))
     chosen = ranked.filter(F.col("nth") <= quota)
@@ -178,24 +179,30 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", name: str
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = docs.drop(name, score)
-    schema = kept.withColumns({name: F.lit(""), score: F.lit(0.0)}).schema
-    at = kept.columns.index(text)
+    kept, both = docs.drop(name, score), free_name(docs, "_language")
+
+    def label(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            languages, scores = _labelled(column, shared.value)
+            yield pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores)], names=["lang", "score"])
+
+    # Not to be computed twice, whatever is selected or filtered later.
+    labelled = F.arrow_udf(label, "lang string, score double").asNondeterministic()
+    told = kept.withColumn(both, labelled(text))
+    return told.select(*kept.columns, F.col(both)["lang"].alias(name), F.col(both)["score"].alias(score))
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            languages, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            for lo, _, bits, has_letter in presence(batch.column(at)) if model else ():
-                values = model.scores(bits[has_letter]).astype(np.float64)
-                exp = np.exp(5 * (values - values.max(axis=1, keepdims=True)))
-                share = exp / exp.sum(axis=1, keepdims=True)
-                for i, k in zip((lo + np.flatnonzero(has_letter)).tolist(), values.argmax(axis=1).tolist(), strict=True):
-                    languages[i] = model.languages[k]
-                scores[lo + np.flatnonzero(has_letter)] = share.max(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(languages, pa.string()), pa.array(scores)], names=schema.names)
 
-    return kept.mapInArrow(label, schema)
+def _labelled(column: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of every text of a column."""
+    languages, scores = [UNKNOWN] * len(column), np.zeros(len(column))
+    for lo, _, bits, has_letter in presence(column) if model else ():
+        values = model.scores(bits[has_letter]).astype(np.float64)
+        exp = np.exp(5 * (values - values.max(axis=1, keepdims=True)))
+        share = exp / exp.sum(axis=1, keepdims=True)
+        for i, k in zip((lo + np.flatnonzero(has_letter)).tolist(), values.argmax(axis=1).tolist(), strict=True):
+            languages[i] = model.languages[k]
+        scores[lo + np.flatnonzero(has_letter)] = share.max(axis=1)
+    return languages, scores
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -224,19 +231,23 @@ def with_known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     model = fit(training_rows(docs))
     if model is None:
         return with_letters(docs)
-    named, scored = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
-    return predict(docs, model, name=named, score=scored).filter(
-        (F.col(named) != UNKNOWN) & (F.col(scored) >= least)
-    ).select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            languages, scores = _labelled(column, shared.value)
+            yield pa.array([x != UNKNOWN for x in languages] & (scores >= least))
+
+    # Only texts go to Python and only a flag comes back; the other columns stay where they are.
+    return docs.filter(F.arrow_udf(known, "boolean")("text"))
 
 
 def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without those whose text is NULL or has no letter. No shuffle."""
     ship(docs.sparkSession)
-    at = docs.columns.index(text)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([bool(t) and any(_fold()[ord(c)] for c in t) for t in batch.column(at).to_pylist()], pa.bool_()))
+    def keep(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            yield pa.array([bool(t) and any(_fold()[ord(c)] for c in t) for t in column.to_pylist()], pa.bool_())
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(F.arrow_udf(keep, "boolean")(text))

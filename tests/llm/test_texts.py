@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -133,6 +134,35 @@ def test_passages_in_blocks_are_all_searched(spark, documents, testdata, monkeyp
     assert len(parts) > 2 and sorted(r[0] for p in parts for r in p) == sorted(i for i, _ in held)
 
 
+def test_passages_block_after_block(spark, documents, awkward, testdata, monkeypatch):
+    """A benchmark of many blocks gives the rows of one block, and the same documents stay."""
+    bench = spark.read.parquet(f"{testdata}/benchmark.parquet").orderBy("item_id").limit(20)
+    docs = documents.limit(150).unionByName(awkward.select(documents.columns))
+    whole = sorted(map(repr, decontaminate.find_passages(docs, bench).collect()))
+    left = sorted(map(repr, decontaminate.without_passages(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK", 1500)
+    assert decontaminate.n_blocks(bench, "item_id", "text") > 2
+    assert sorted(map(repr, decontaminate.find_passages(docs, bench).collect())) == whole
+    assert sorted(map(repr, decontaminate.without_passages(docs, bench).collect())) == left
+    clash = awkward.unionByName(awkward)
+    assert decontaminate.without_passages(clash, bench).columns == awkward.columns
+
+
+def test_passages_in_a_text_that_repeats_itself():
+    """Half a passage, repeated over 2 MB, fills nearly every second band; equal bands are aligned once."""
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(140)).replace("  ", " ").strip()
+    index = decontaminate.Index.of([(1, passage)], 0.1)
+    half = passage[:70] + " "
+    text = half * 28_000
+    began = time.perf_counter()
+    assert index.search(text) == [] and not index.stands(text)
+    assert time.perf_counter() - began < 20
+    whole = half * 3000 + passage[:60] + "#" + passage[61:] + " " + half * 3000
+    (item, start, edits), = index.search(whole)
+    assert (item, edits) == (1, 1) and whole[start : start + 60] == passage[:60] and start >= 3000 * len(half) - 1
+
+
 def test_passages_empty(spark, nothing, awkward):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_passages(awkward, bench).count() == 0
