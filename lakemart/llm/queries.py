@@ -9,11 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import chat, decontaminate, language, licenses, mixing, quality, sharding, simhash, substrings, tokens
+from lakemart.llm import chat, decontaminate, language, licenses, mixing, packing, quality, runs, sharding, simhash, substrings, tokens, trie
 from lakemart.llm.common import table
 from lakemart.llm.oracles import ORACLES as ORACLES
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: How the public byte-level vocabularies part a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHARDS = 8
 
 
@@ -57,6 +60,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.read_ranks(VOCABULARY))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), rebuild=True)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=True, with_runs=False)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(TOKENIZER, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read(), {entry: i for i, entry in enumerate(tokens.read_ranks(VOCABULARY))}, PATTERN)
+    return packing.pack(table(spark, sf_dir, "documents"), encoder, size=1024, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and callable(query)
 }
