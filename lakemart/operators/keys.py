@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakemart.sources.files import scratch_folder
 
 
-def add_dense_key(df: DataFrame, name: str, *order: Column) -> DataFrame:
+def add_dense_key(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
     """Number the rows 1, 2, 3, … in the given order, without one task sorting all of them.
 
     Rows are range-partitioned, sorted inside their partition and written once,

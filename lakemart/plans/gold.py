@@ -8,11 +8,12 @@ splitting hot keys on the sales side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.text import UNKNOWN
 from lakemart.operators.keys import add_dense_key
+from lakemart.sources.key_books import KeyBook
 
 
 def joined_customers(crm: DataFrame, erp: DataFrame, locations: DataFrame) -> DataFrame:
@@ -60,22 +61,38 @@ def current_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def dim_customers(crm: DataFrame, erp: DataFrame, locations: DataFrame) -> DataFrame:
-    """Keys are stable within one load, not across loads."""
+CUSTOMER_ORDER = ("customer_id", "customer_number", "birth_date", "country", "gender")
+PRODUCT_ORDER = ("start_date", "product_number", "product_id", "sub_category")
+
+
+def customer_book(spark: SparkSession, base: str) -> KeyBook:
+    """Customers are known by their id."""
+    return KeyBook(spark, f"{base.rstrip('/')}/_keys/customers", "customer_key", "customer_id long")
+
+
+def product_book(spark: SparkSession, base: str) -> KeyBook:
+    """Products are known by their number, whichever version is open."""
+    return KeyBook(spark, f"{base.rstrip('/')}/_keys/products", "product_key", "product_number string")
+
+
+def _order(names: tuple[str, ...]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in names]
+
+
+def dim_customers(crm: DataFrame, erp: DataFrame, locations: DataFrame, book: KeyBook | None = None) -> DataFrame:
+    """Keys are dense and stable within one load; with a ``book`` they stay the same in every load."""
     rows = joined_customers(crm, erp, locations)
-    return add_dense_key(
-        rows, "customer_key",
-        *(F.col(c).asc_nulls_last() for c in ("customer_id", "customer_number", "birth_date", "country", "gender")),
-    )
+    if book:
+        return book.keyed(rows, *_order(CUSTOMER_ORDER))
+    return add_dense_key(rows, "customer_key", *_order(CUSTOMER_ORDER))
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Keys are stable within one load, not across loads."""
+def dim_products(products: DataFrame, categories: DataFrame, book: KeyBook | None = None) -> DataFrame:
+    """Keys are dense and stable within one load; with a ``book`` they stay the same in every load."""
     rows = current_products(products, categories)
-    return add_dense_key(
-        rows, "product_key",
-        *(F.col(c).asc_nulls_last() for c in ("start_date", "product_number", "product_id", "sub_category")),
-    )
+    if book:
+        return book.keyed(rows, *_order(PRODUCT_ORDER))
+    return add_dense_key(rows, "product_key", *_order(PRODUCT_ORDER))
 
 
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:

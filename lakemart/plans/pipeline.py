@@ -43,20 +43,24 @@ def load_silver(store: LayerStore, as_of: dt.date, on_invalid: str = "error") ->
 
 def load_gold(
     store: LayerStore, as_of: dt.date, customer_rule: CustomerRule = CustomerRule(),
-    product_rule: ProductRule = ProductRule(),
+    product_rule: ProductRule = ProductRule(), keep_keys: bool = False,
 ) -> str:
     """Star schema and reports of the current silver load.
 
     The dimensions are numbered once and read back for the fact, the fact is
-    read back for the reports: nothing upstream is computed twice.
+    read back for the reports: nothing upstream is computed twice. By default
+    every load numbers its members 1, 2, 3, …; with ``keep_keys`` members keep
+    the keys of earlier loads, and only new ones are numbered, above these.
     """
     clean = store.read_all("silver", tuple(SILVER))
+    customer_book = gold.customer_book(store.spark, store.base) if keep_keys else None
+    product_book = gold.product_book(store.spark, store.base) if keep_keys else None
     return store.load("gold", {
         "dim_customers": lambda done: conform(
-            gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"]), GOLD["dim_customers"]
+            gold.dim_customers(clean["crm_cust_info"], clean["erp_cust_az12"], clean["erp_loc_a101"], customer_book), GOLD["dim_customers"]
         ),
         "dim_products": lambda done: conform(
-            gold.dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"]), GOLD["dim_products"]
+            gold.dim_products(clean["crm_prd_info"], clean["erp_px_cat_g1v2"], product_book), GOLD["dim_products"]
         ),
         "fact_sales": lambda done: conform(
             gold.fact_sales(clean["crm_sales_details"], done["dim_products"], done["dim_customers"]), GOLD["fact_sales"]

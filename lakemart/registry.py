@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
@@ -259,9 +260,32 @@ def _missing_references(w: Warehouse) -> DataFrame:
     )
 
 
+#: The day of the earlier exports that queries on a second load begin with.
+EARLIER = dt.date(1996, 6, 30)
+EARLIER_VERSIONS = dt.date(1995, 1, 15)
+
+
+def _customer_keys_of_second_load(w: Warehouse) -> DataFrame:
+    """Number the customers of an earlier export, then all: known ones keep their keys, new ones follow."""
+    book = gold.customer_book(w.spark, w.new_folder())
+    earlier = silver.customers(w.raw(CUSTOMERS).filter(F.col("cst_create_date") <= F.lit(EARLIER)))
+    gold.dim_customers(earlier, w.clean(PEOPLE), w.clean(PLACES), book)
+    return gold.dim_customers(w.clean(CUSTOMERS), w.clean(PEOPLE), w.clean(PLACES), book).select("customer_key", "customer_id")
+
+
+def _product_keys_of_second_load(w: Warehouse) -> DataFrame:
+    """Number the products that had a version by an earlier day, then all of today."""
+    book = gold.product_book(w.spark, w.new_folder())
+    earlier = silver.products(w.raw(PRODUCTS).filter(F.col("prd_start_dt") <= F.lit(EARLIER_VERSIONS)))
+    gold.dim_products(earlier, w.clean(CATEGORIES), book)
+    return gold.dim_products(w.clean(PRODUCTS), w.clean(CATEGORIES), book).select("product_key", "product_number")
+
+
 STAR: dict[str, Plan] = {
     "m1_customer_keys": lambda w: w.customers.select("customer_key", "customer_id"),
     "m1_product_keys": lambda w: w.products.select("product_key", "product_number"),
+    "m1_customer_keys_of_second_load": _customer_keys_of_second_load,
+    "m1_product_keys_of_second_load": _product_keys_of_second_load,
     "m2_dim_customers": lambda w: w.customers,
     "m2_dim_products": lambda w: w.products,
     "m3_master_gender": _gender_sources,
