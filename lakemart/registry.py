@@ -33,6 +33,7 @@ from lakemart.plans import (
     trends,
 )
 from lakemart.plans.warehouse import Warehouse
+from lakemart.sources.buckets import Refresh, Upsert, hash_buckets
 from lakemart.sources.csv_files import read_csv, write_csv
 from lakemart.sources.layers import LayerStore, export
 
@@ -42,6 +43,11 @@ CUSTOMERS, PRODUCTS, SALES = "crm_cust_info", "crm_prd_info", "crm_sales_details
 PEOPLE, PLACES, CATEGORIES = "erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2"
 
 
+#: The day of the earlier exports that queries on a second load begin with.
+EARLIER = dt.date(1996, 6, 30)
+EARLIER_VERSIONS = dt.date(1995, 1, 15)
+
+
 def _preview(table: str) -> Plan:
     def plan(w: Warehouse) -> DataFrame:
         rows = w.raw(table)
@@ -115,6 +121,26 @@ def _reloaded_sales(w: Warehouse) -> DataFrame:
     return store.read("silver", SALES)
 
 
+def _refreshed_sales(w: Warehouse) -> DataFrame:
+    """Load the clean sales shipped by an earlier day, then all: only the months that changed are written again."""
+    store, by_month = LayerStore(w.spark, w.new_folder()), "date_format(sls_ship_dt, 'yyyy-MM')"
+    sales = w.clean(SALES)
+    store.load("silver", {SALES: Refresh(sales.filter(F.col("sls_ship_dt") <= F.lit(EARLIER)), by_month)})
+    store.load("silver", {SALES: Refresh(sales, by_month)})
+    return store.read("silver", SALES)
+
+
+def _merged_customers(w: Warehouse) -> DataFrame:
+    """Keep the latest record per customer up to date: records of an earlier day, then the others as changes."""
+    store, bucket = LayerStore(w.spark, w.new_folder()), hash_buckets(16, "cst_id")
+    raw = w.raw(CUSTOMERS)
+    latest = lambda rows: latest_per_key(rows, "cst_id", "cst_create_date")
+    earlier = F.coalesce(F.col("cst_create_date") <= F.lit(EARLIER), F.lit(False))
+    store.load("latest", {CUSTOMERS: Refresh(latest(raw.filter(earlier)), bucket)})
+    store.load("latest", {CUSTOMERS: Upsert(latest(raw.filter(~earlier)), ("cst_id",), bucket, latest)})
+    return silver.trim_and_name(store.read("latest", CUSTOMERS))
+
+
 def _sales_after_failure(w: Warehouse) -> DataFrame:
     """Load the clean sales, let a second load fail half-way, and read what is current."""
     store = LayerStore(w.spark, w.new_folder())
@@ -138,6 +164,8 @@ LOADS: dict[str, Plan] = {
     "s10_published_reports": _published_reports,
     "s10_published_star": _published_star,
     "s14_exported_monthly": _exported_monthly,
+    "s5_refreshed_sales": _refreshed_sales,
+    "s6_merged_customers": _merged_customers,
     "s6_silver_customers": lambda w: w.clean(CUSTOMERS),
     "s6_silver_products": lambda w: w.clean(PRODUCTS),
     "s6_silver_sales": lambda w: w.clean(SALES),
@@ -260,11 +288,6 @@ def _missing_references(w: Warehouse) -> DataFrame:
     )
 
 
-#: The day of the earlier exports that queries on a second load begin with.
-EARLIER = dt.date(1996, 6, 30)
-EARLIER_VERSIONS = dt.date(1995, 1, 15)
-
-
 def _customer_keys_of_second_load(w: Warehouse) -> DataFrame:
     """Number the customers of an earlier export, then all: known ones keep their keys, new ones follow."""
     book = gold.customer_book(w.spark, w.new_folder())

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from lakemart.sources import buckets
+from lakemart.sources.buckets import Refresh, Upsert
 from lakemart.sources.files import children, delete, scratch_space
 
 AUDIT = T.StructType([
@@ -34,7 +36,7 @@ AUDIT = T.StructType([
 ])
 
 
-Table = DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]
+Table = DataFrame | Refresh | Upsert | Callable[[Mapping[str, DataFrame]], DataFrame | Refresh | Upsert]
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,19 @@ class LayerStore:
         return latest
 
     def read(self, layer: str, table: str, load_id: str | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table, load_id or self.current_load(layer)))
+        path = self.path(layer, table, load_id or self.current_load(layer))
+        if buckets.is_bucketed(self.spark, path):
+            schema = buckets.stored_schema(self.spark, path)
+            return buckets.read(self.spark, path.rsplit("/", 1)[0], buckets.manifest(self.spark, path), schema)
+        return self.spark.read.parquet(path)
+
+    def _current_buckets(self, layer: str, table: str) -> dict[str, buckets.Bucket]:
+        """What the current load of a bucketed table consists of; nothing if there is none."""
+        try:
+            path = self.path(layer, table, self.current_load(layer))
+        except LookupError:
+            return {}
+        return buckets.manifest(self.spark, path) if buckets.is_bucketed(self.spark, path) else {}
 
     def read_all(self, layer: str, tables: tuple[str, ...]) -> dict[str, DataFrame]:
         load_id = self.current_load(layer)
@@ -81,7 +95,8 @@ class LayerStore:
         A table that builds on others of the same load is given as a function of
         the tables written so far, which it reads back instead of computing them
         again. Rows are counted while they are written (Observation), not in a
-        second pass.
+        second pass. Of a table given as ``Refresh`` or ``Upsert`` only the
+        buckets that change are written.
         """
         load_id = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         began, clock = dt.datetime.now(dt.UTC), time.monotonic()
@@ -92,13 +107,18 @@ class LayerStore:
                 table_began, table_clock = dt.datetime.now(dt.UTC), time.monotonic()
                 seen = Observation()
                 path = self.path(layer, table, load_id)
+                message = None
                 with scratch_space(self.spark):
                     df = rows_or_plan(written) if callable(rows_or_plan) else rows_or_plan
-                    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-                written[table] = self.spark.read.schema(df.schema).parquet(path)
-                rows = seen.get["rows"]
+                    if isinstance(df, Refresh | Upsert):
+                        rows, some, all_ = buckets.write(self.spark, path.rsplit("/", 1)[0], load_id, df, self._current_buckets(layer, table))
+                        message = f"{some} of {all_} buckets written"
+                    else:
+                        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+                        rows = seen.get["rows"]
+                written[table] = self.read(layer, table, load_id) if message else self.spark.read.schema(df.schema).parquet(path)
                 total += rows
-                log.append((load_id, layer, table, rows, table_began, _since(table_clock), "written", None))
+                log.append((load_id, layer, table, rows, table_began, _since(table_clock), "written", message))
         except Exception as error:
             log.append((load_id, layer, table, None, began, _since(clock), "failed", str(error)))
             self._append(log)
@@ -128,7 +148,11 @@ class LayerStore:
         load_id = self.current_load(layer)
         for table in tables:
             path = self.path(layer, table, load_id)
-            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS SELECT * FROM parquet.`{path}`")
+            rows = f"SELECT * FROM parquet.`{path}`"
+            if buckets.is_bucketed(self.spark, path):
+                columns = buckets.stored_schema(self.spark, path).names
+                rows = buckets.as_sql(path.rsplit("/", 1)[0], load_id, buckets.manifest(self.spark, path), columns)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS {rows}")
 
     def reclaim(self, layer: str, keep: int = 1) -> list[str]:
         """Remove the files of all loads of a layer but the last ``keep`` committed ones; returns what went.
@@ -143,12 +167,30 @@ class LayerStore:
         gone = []
         base = f"{self.base.rstrip('/')}/{layer}"
         for table in children(self.spark, base):
+            needed = self._buckets_in_use(layer, table, stay)
             for load_id in children(self.spark, f"{base}/{table}"):
-                if load_id not in stay:
+                if load_id in stay:
+                    continue
+                if load_id not in needed:
                     delete(self.spark, f"{base}/{table}/{load_id}")
                     gone.append(f"{table}/{load_id}")
+                    continue
+                for folder in children(self.spark, f"{base}/{table}/{load_id}"):
+                    if folder.startswith(f"{buckets.FOLDER}=") and folder.split("=", 1)[1] not in needed[load_id]:
+                        delete(self.spark, f"{base}/{table}/{load_id}/{folder}")
+                        gone.append(f"{table}/{load_id}/{folder}")
         return gone
 
+    def _buckets_in_use(self, layer: str, table: str, loads: set[str]) -> dict[str, set[str]]:
+        """Loads and buckets that the manifests of some loads name."""
+        needed: dict[str, set[str]] = {}
+        for load_id in loads:
+            path = self.path(layer, table, load_id)
+            if buckets.is_bucketed(self.spark, path):
+                for label, bucket in buckets.manifest(self.spark, path).items():
+                    needed.setdefault(bucket.load_id, set()).add(label)
+        return needed
+
 
 def _since(clock: float) -> Decimal:
     return Decimal(str(round(time.monotonic() - clock, 2)))
