@@ -34,6 +34,7 @@ from lakemart.plans import (
 )
 from lakemart.plans.warehouse import Warehouse
 from lakemart.sources.buckets import Refresh, Upsert, hash_buckets
+from lakemart.sources.clustered import cluster
 from lakemart.sources.csv_files import read_csv, write_csv
 from lakemart.sources.layers import LayerStore, export
 
@@ -288,6 +289,13 @@ def _missing_references(w: Warehouse) -> DataFrame:
     )
 
 
+def _fact_in_place(w: Warehouse) -> DataFrame:
+    """Lay the clean lines out by customer once, then key them where they lie."""
+    folder = w.new_folder()
+    lines = cluster(w.clean(SALES), f"{folder}/lines", "sls_cust_id", "sls_ord_num", buckets=8)
+    return gold.fact_sales_in_place(lines, w.products, w.customers, f"{folder}/keys")
+
+
 def _customer_keys_of_second_load(w: Warehouse) -> DataFrame:
     """Number the customers of an earlier export, then all: known ones keep their keys, new ones follow."""
     book = gold.customer_book(w.spark, w.new_folder())
@@ -315,6 +323,7 @@ STAR: dict[str, Plan] = {
     "j1_joined_customers": lambda w: gold.joined_customers(w.clean(CUSTOMERS), w.clean(PEOPLE), w.clean(PLACES)),
     "j2_current_products": lambda w: gold.current_products(w.clean(PRODUCTS), w.clean(CATEGORIES)),
     "j3_fact_sales": lambda w: w.fact,
+    "j3_fact_sales_in_place": _fact_in_place,
     "j4_buyers": lambda w: explore.buyers(star.dated(w.fact), w.customers).agg(
         F.count("customer_key").alias("total_customers")
     ),
