@@ -12,6 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.functions import month_start
+from lakemart.operators.keys import add_dense_key
+from lakemart.operators.member_sets import distinct_counts, member_sets
+
 
 def dated(fact: DataFrame) -> DataFrame:
     """Lines with a readable order date; pushed into the scan."""
@@ -33,3 +37,24 @@ def sales_sum() -> Column:
 
 def quantity_sum() -> Column:
     return F.sum("quantity").alias("total_quantity")
+
+
+def member_sets_by_month(fact: DataFrame, products: DataFrame) -> DataFrame:
+    """Per month and category the sets of customers, orders and products, to be merged for any period or category.
+
+    Order numbers are texts, so orders are numbered first. Undated lines have a
+    NULL month, lines without a category a NULL category.
+    """
+    orders = add_dense_key(fact.select("order_number").distinct(), "_order", F.col("order_number"))
+    lines = fact.select(month_start(F.col("order_date")).alias("month"), "product_key", "customer_key", "order_number")
+    lines = lines.join(products.select("product_key", "category"), "product_key", "left").join(orders, "order_number", "left")
+    return member_sets(lines, ["month", "category"], {"customer": "customer_key", "order": "_order", "product": "product_key"})
+
+
+#: What the sets count, and the names of the figures.
+REACH = {"customer": "total_customers", "order": "total_orders", "product": "total_products"}
+
+
+def reach(sets: DataFrame, *by: Column | str) -> DataFrame:
+    """Different customers, orders and products per period or category (all in one without any), from stored sets."""
+    return distinct_counts(sets, by, REACH)

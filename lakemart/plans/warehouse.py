@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakemart.plans import gold, reports, silver
+from lakemart.plans import gold, reports, silver, star
 from lakemart.plans.segments import CustomerRule, ProductRule
 from lakemart.session import work_dir
 from lakemart.sources.files import children, delete, scratch_space
@@ -125,7 +125,7 @@ class Warehouse:
             self.raw(table)
         for table in CLEANED:
             self.clean(table)
-        self.customers, self.products, self.fact, self.report_customers, self.report_products  # noqa: B018
+        self.customers, self.products, self.fact, self.member_sets, self.report_customers, self.report_products  # noqa: B018
 
     def reclaim(self) -> list[str]:
         """Remove what was stored for other states of the input files or the code; returns the folders' names.
@@ -178,6 +178,10 @@ class Warehouse:
             self.clean("crm_sales_details"), self.products, self.customers
         ), self.settings.as_of)
 
+    @property
+    def member_sets(self) -> DataFrame:
+        return self._stored("member_sets", lambda: star.member_sets_by_month(self.fact, self.products), self.settings.as_of)
+
     @property
     def report_customers(self) -> DataFrame:
         return self._stored("report_customers", lambda: reports.report_customers(

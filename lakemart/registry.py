@@ -267,20 +267,6 @@ def _catalog_sales(w: Warehouse) -> DataFrame:
     return w.products.select("product_key", "product_number").join(sums, "product_key", "left")
 
 
-def _category_reach(w: Warehouse) -> DataFrame:
-    """Customers and orders per category: pairs are made distinct before the category is joined."""
-    categories = w.products.select("product_key", "category")
-
-    def reach(member: str, name: str, other: str) -> DataFrame:
-        pairs = w.fact.select("product_key", member).distinct().join(categories, "product_key", "left")
-        return pairs.groupBy("category").agg(F.count_distinct(member).alias(name)).withColumn(other, F.lit(0))
-
-    both = reach("customer_key", "total_customers", "total_orders").unionByName(
-        reach("order_number", "total_orders", "total_customers")
-    )
-    return both.groupBy("category").agg(F.sum("total_customers").alias("total_customers"), F.sum("total_orders").alias("total_orders"))
-
-
 def _missing_references(w: Warehouse) -> DataFrame:
     """Lines and sales without a dimension row: the fact is reduced to its key pairs before the joins."""
     pairs = w.fact.groupBy("customer_key", "product_key").agg(F.count("*").alias("lines"), F.sum("sales_amount").alias("sales"))
@@ -347,7 +333,11 @@ FUNCTIONS: dict[str, Plan] = {
         F.count_distinct("customer_key").alias("total_customers"),
         F.count_distinct("product_key").alias("total_products"),
     ),
-    "a8_category_reach": _category_reach,
+    "a4_distinct_counts_from_sets": lambda w: star.reach(w.member_sets),
+    "a8_category_reach": lambda w: star.reach(w.member_sets, "category").drop("total_products"),
+    "a8_reach_by_year_and_category": lambda w: star.reach(w.member_sets, F.year("month").alias("order_year"), "category"),
+    "n15_reach_by_year": lambda w: star.reach(w.member_sets, F.year("month").alias("order_year")),
+    "n18_reach_by_month": lambda w: star.reach(w.member_sets, F.col("month").alias("order_month")),
 }
 
 EXPLORE: dict[str, Plan] = {
