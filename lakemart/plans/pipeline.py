@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.plans import gold, reports, silver
+from lakemart.plans.rules import silver_rules
 from lakemart.plans.segments import CustomerRule, ProductRule
 from lakemart.sources.csv_files import read_exports
 from lakemart.sources.layers import LayerStore
@@ -30,14 +31,20 @@ def load_bronze(
     return store.load("bronze", read_exports(spark, source, files, **options))
 
 
-def load_silver(store: LayerStore, as_of: dt.date, on_invalid: str = "error") -> str:
-    """Clean the current bronze load; every row gets the time of loading."""
+def load_silver(store: LayerStore, as_of: dt.date, on_invalid: str = "error", rules: str | None = None) -> str:
+    """Clean the current bronze load; every row gets the time of loading.
+
+    With ``rules`` the layer's quality rules are observed while it is written:
+    ``record`` keeps the findings, ``refuse`` commits only if all rules hold.
+    """
     raw = store.read_all("bronze", tuple(BRONZE))
     cleaned = {
         table: conform(df, SILVER[table], optional=("dwh_create_date",))
         .withColumn("dwh_create_date", F.localtimestamp())
         for table, df in silver.clean_tables(raw, as_of, on_invalid).items()
     }
+    if rules:
+        return store.load("silver", cleaned, silver_rules(as_of), rules)
     return store.load("silver", cleaned)
 
 

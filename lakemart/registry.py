@@ -36,7 +36,7 @@ from lakemart.plans.warehouse import Warehouse
 from lakemart.sources.buckets import Refresh, Upsert, hash_buckets
 from lakemart.sources.clustered import cluster
 from lakemart.sources.csv_files import read_csv, write_csv
-from lakemart.sources.layers import LayerStore, export
+from lakemart.sources.layers import LayerStore, RulesBroken, export
 
 Plan = Callable[[Warehouse], DataFrame]
 
@@ -401,6 +401,25 @@ def _offending_amounts(df: DataFrame) -> DataFrame:
     return bad.orderBy(*(F.col(c).asc_nulls_last() for c in amounts))
 
 
+def _quality_in_load(w: Warehouse) -> DataFrame:
+    """The rules of the clean layer, observed while it is written."""
+    store = LayerStore(w.spark, w.new_folder())
+    store.load("silver", w.clean_tables(), rules.silver_rules(w.settings.as_of), on_broken="record")
+    return store.findings("silver").drop("load_id")
+
+
+def _sales_after_refusal(w: Warehouse) -> DataFrame:
+    """Load the lines with consistent amounts; a load of all lines breaks the rule and is refused."""
+    store, rule = LayerStore(w.spark, w.new_folder()), checks.RowRule("amounts", checks.inconsistent_amounts("sls_sales", "sls_quantity", "sls_price"))
+    sales = w.clean(SALES)
+    store.load("silver", {SALES: sales.filter(~rule.bad)}, {SALES: [rule]})
+    try:
+        store.load("silver", {SALES: sales}, {SALES: [rule]})
+    except RulesBroken:
+        pass
+    return store.read("silver", SALES)
+
+
 QUALITY: dict[str, Plan] = {
     "q1_customer_ids_bronze": lambda w: checks.violations(w.raw(CUSTOMERS), checks.KeyRule("", "cst_id")),
     "q1_customer_ids_silver": lambda w: checks.violations(w.clean(CUSTOMERS), checks.KeyRule("", "cst_id")),
@@ -463,6 +482,8 @@ QUALITY: dict[str, Plan] = {
     "q15_location_scan": lambda w: w.raw(PLACES).select("cid", "cntry"),
     "quality_bronze": lambda w: rules.check_layer("bronze", w.raw_tables(), rules.bronze_rules(w.settings.as_of)),
     "quality_silver": lambda w: rules.check_layer("silver", w.clean_tables(), rules.silver_rules(w.settings.as_of)),
+    "quality_silver_in_load": _quality_in_load,
+    "q9_refused_load_keeps_sales": _sales_after_refusal,
     "quality_gold": lambda w: rules.check_layer(
         "gold", {"dim_customers": w.customers, "dim_products": w.products, "fact_sales": w.fact}, rules.gold_rules()
     ),

@@ -108,8 +108,11 @@ def read(spark: SparkSession, table_path: str, buckets: dict[str, Bucket], schem
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def write(spark: SparkSession, table_path: str, load_id: str, change: Refresh | Upsert, before: dict[str, Bucket]) -> tuple[int, int, int]:
-    """Write what a change touches and the manifest; returns rows of the table, buckets written and all buckets."""
+def write(spark: SparkSession, table_path: str, load_id: str, change: Refresh | Upsert, before: dict[str, Bucket], watch: Callable[[DataFrame], DataFrame]) -> tuple[int, int, int]:
+    """Write what a change touches and the manifest; returns rows of the table, buckets written and all buckets.
+
+    ``watch`` is put over the rows that are written.
+    """
     path = f"{table_path}/{load_id}"
     schema = change.rows.schema
     if isinstance(change, Refresh):
@@ -118,11 +121,11 @@ def write(spark: SparkSession, table_path: str, load_id: str, change: Refresh |
         written = {label: Bucket(load_id, *found) for label, found in state.items() if label not in before or (before[label].rows, before[label].digest) != found}
         kept = {label: before[label] for label in state if label not in written}
         if written:
-            _store(labelled.filter(F.col(FOLDER).isin(*written)), path)
+            _store(watch(labelled.filter(F.col(FOLDER).isin(*written))), path)
     else:
         merged, touched = _merged(spark, table_path, change, before)
         if touched:
-            _store(merged, path)
+            _store(watch(merged), path)
         # Read back what was written: a bucket that lost all its rows has no folder.
         found = _digests(spark.read.schema(merged.schema).parquet(path)) if any(FOLDER in name for name in children(spark, path)) else {}
         written = {label: Bucket(load_id, *state) for label, state in found.items()}

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from lakemart.operators.checks import KeyRule, RowRule, Rule, violations
 from lakemart.sources import buckets
 from lakemart.sources.buckets import Refresh, Upsert
 from lakemart.sources.files import children, delete, scratch_space
@@ -36,6 +37,25 @@ AUDIT = T.StructType([
 ])
 
 
+FINDINGS = T.StructType([
+    T.StructField("load_id", T.StringType()),
+    T.StructField("layer", T.StringType()),
+    T.StructField("table_name", T.StringType()),
+    T.StructField("check_name", T.StringType()),
+    T.StructField("violations", T.LongType()),
+    T.StructField("passed", T.BooleanType()),
+])
+
+
+class RulesBroken(ValueError):
+    """A load was refused: what it wrote broke rules."""
+
+    def __init__(self, layer: str, found: Mapping[str, Mapping[str, int]]):
+        self.found = {table: {name: n for name, n in counts.items() if n} for table, counts in found.items() if any(counts.values())}
+        told = "; ".join(f"{table}: " + ", ".join(f"{name} {n}" for name, n in counts.items()) for table, counts in self.found.items())
+        super().__init__(f"{layer} breaks its rules ({told})")
+
+
 Table = DataFrame | Refresh | Upsert | Callable[[Mapping[str, DataFrame]], DataFrame | Refresh | Upsert]
 
 
@@ -89,7 +109,9 @@ class LayerStore:
         load_id = self.current_load(layer)
         return {table: self.read(layer, table, load_id) for table in tables}
 
-    def load(self, layer: str, tables: Mapping[str, Table]) -> str:
+    def load(
+        self, layer: str, tables: Mapping[str, Table], rules: Mapping[str, Sequence[Rule]] | None = None, on_broken: str = "refuse"
+    ) -> str:
         """Write all tables of a layer, or none: an error is recorded and raised again.
 
         A table that builds on others of the same load is given as a function of
@@ -97,28 +119,44 @@ class LayerStore:
         again. Rows are counted while they are written (Observation), not in a
         second pass. Of a table given as ``Refresh`` or ``Upsert`` only the
         buckets that change are written.
+
+        ``rules`` of rows are observed in that pass, too, and keys are checked on
+        what was written, reading the key only. All findings are recorded. If a
+        rule is broken the load is not committed and ``RulesBroken`` is raised,
+        unless ``on_broken`` is ``record``. Of bucketed tables the rows written
+        are checked; the others were when they were.
         """
+        if on_broken not in ("refuse", "record"):
+            raise ValueError(f"on_broken must be refuse or record, not {on_broken}")
         load_id = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         began, clock = dt.datetime.now(dt.UTC), time.monotonic()
         log, total, table = [], 0, None
         written: dict[str, DataFrame] = {}
+        found: dict[str, dict[str, int]] = {}
         try:
             for table, rows_or_plan in tables.items():
                 table_began, table_clock = dt.datetime.now(dt.UTC), time.monotonic()
-                seen = Observation()
-                path = self.path(layer, table, load_id)
-                message = None
+                path, message, own = self.path(layer, table, load_id), None, list((rules or {}).get(table, ()))
                 with scratch_space(self.spark):
                     df = rows_or_plan(written) if callable(rows_or_plan) else rows_or_plan
+                    watch = _Watch(own)
                     if isinstance(df, Refresh | Upsert):
-                        rows, some, all_ = buckets.write(self.spark, path.rsplit("/", 1)[0], load_id, df, self._current_buckets(layer, table))
+                        rows, some, all_ = buckets.write(self.spark, path.rsplit("/", 1)[0], load_id, df, self._current_buckets(layer, table), watch.over)
                         message = f"{some} of {all_} buckets written"
                     else:
-                        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-                        rows = seen.get["rows"]
+                        watch.over(df).write.parquet(path)
+                        rows = watch.counts()["rows"]
                 written[table] = self.read(layer, table, load_id) if message else self.spark.read.schema(df.schema).parquet(path)
+                if own:
+                    found[table] = watch.broken() | {
+                        r.name: violations(written[table].select(r.key), r).count() for r in own if isinstance(r, KeyRule)
+                    }
                 total += rows
                 log.append((load_id, layer, table, rows, table_began, _since(table_clock), "written", message))
+            table = None
+            self._record(load_id, layer, found)
+            if on_broken == "refuse" and any(n for counts in found.values() for n in counts.values()):
+                raise RulesBroken(layer, found)
         except Exception as error:
             log.append((load_id, layer, table, None, began, _since(clock), "failed", str(error)))
             self._append(log)
@@ -127,6 +165,20 @@ class LayerStore:
         self._append(log)
         return load_id
 
+    def _record(self, load_id: str, layer: str, found: Mapping[str, Mapping[str, int]]) -> None:
+        rows = [(load_id, layer, table, name, n, n == 0) for table, counts in found.items() for name, n in counts.items()]
+        if rows:
+            self.spark.createDataFrame(rows, FINDINGS).coalesce(1).write.mode("append").parquet(f"{self.base.rstrip('/')}/_findings")
+
+    def findings(self, layer: str) -> DataFrame:
+        """What the rules of every load of a layer found, of refused loads, too."""
+        try:
+            return self.spark.read.schema(FINDINGS).parquet(f"{self.base.rstrip('/')}/_findings").filter(F.col("layer") == layer)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], FINDINGS)
+
     def _append(self, log: list[tuple]) -> None:
         now = dt.datetime.now(dt.UTC)
         self.spark.createDataFrame([(*row, now) for row in log], AUDIT).coalesce(1).write.mode("append").parquet(self._audit_path())
@@ -192,6 +244,27 @@ class LayerStore:
         return needed
 
 
+class _Watch:
+    """Counts rows, and rows that break rules, while they are written."""
+
+    def __init__(self, rules: Sequence[Rule]):
+        self._rules = [r for r in rules if isinstance(r, RowRule)]
+        self._seen: Observation | None = None
+
+    def over(self, df: DataFrame) -> DataFrame:
+        self._seen = Observation()
+        broken = [F.count_if(r.bad).alias(f"rule_{i}") for i, r in enumerate(self._rules)]
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *broken)
+
+    def counts(self) -> dict[str, int]:
+        """Of what was written; nothing was if nobody watched."""
+        return self._seen.get if self._seen else {"rows": 0}
+
+    def broken(self) -> dict[str, int]:
+        counts = self.counts()
+        return {r.name: counts.get(f"rule_{i}", 0) for i, r in enumerate(self._rules)}
+
+
 def _since(clock: float) -> Decimal:
     return Decimal(str(round(time.monotonic() - clock, 2)))
 
