@@ -32,11 +32,6 @@ from lakemart.session import work_dir
 from lakemart.sources.files import children, delete, scratch_space
 from lakemart.sources.order_tables import RAW_TABLES, fingerprint
 
-# Stored because later queries would repeat a shuffle or a costly projection of all lines.
-# The categories are stored so that their size is known to the joins.
-LANDED = ("crm_sales_details", "erp_px_cat_g1v2")
-# Clean sales are a narrow projection of the stored raw lines and not stored again.
-CLEANED = ("crm_cust_info", "crm_prd_info")
 COMMIT = "folder string, schema string, committed_at timestamp"
 
 SILVER_PLANS = {
@@ -121,9 +116,9 @@ class Warehouse:
 
     def build(self) -> None:
         """Store all tables that queries read, so that these only read."""
-        for table in LANDED:
+        for table in RAW_TABLES:
             self.raw(table)
-        for table in CLEANED:
+        for table in RAW_TABLES:
             self.clean(table)
         self.customers, self.products, self.fact, self.member_sets, self.report_customers, self.report_products  # noqa: B018
 
@@ -141,21 +136,16 @@ class Warehouse:
         return gone
 
     def raw(self, table: str) -> DataFrame:
-        def plan() -> DataFrame:
-            return RAW_TABLES[table](self.spark, self.base)
-
-        return self._stored(f"bronze_{table}", plan) if table in LANDED else plan()
+        return self._stored(f"bronze_{table}", lambda: RAW_TABLES[table](self.spark, self.base))
 
     def raw_tables(self) -> dict[str, DataFrame]:
         return {table: self.raw(table) for table in RAW_TABLES}
 
     def clean(self, table: str) -> DataFrame:
-        def plan() -> DataFrame:
-            if table == "erp_cust_az12":
-                return silver.erp_customers(self.raw(table), self.settings.as_of)
-            return SILVER_PLANS[table](self.raw(table))
-
-        return self._stored(f"silver_{table}", plan) if table in CLEANED else plan()
+        if table == "erp_cust_az12":
+            day = self.settings.as_of
+            return self._stored(f"silver_{table}", lambda: silver.erp_customers(self.raw(table), day), day)
+        return self._stored(f"silver_{table}", lambda: SILVER_PLANS[table](self.raw(table)))
 
     def clean_tables(self) -> dict[str, DataFrame]:
         return {table: self.clean(table) for table in RAW_TABLES}
