@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from functools import reduce
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemart.session import work_dir
+from lakemart.sources.files import delete
 
 #: A word is a run of characters other than these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +36,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a ``stored`` result that nothing will read again."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete(df.sparkSession, path)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or a longer name that no column of ``df`` has (Spark compares without case)."""
     taken = {c.lower() for c in df.columns}
@@ -83,8 +91,7 @@ def places(rows: DataFrame, group: str, part: str, order: list[str], same: str,
     """
     kept = rows.columns
     rows = stored(rows.withColumn("_salt", F.monotonically_increasing_id()), "places")
-    often = rows.groupBy(F.col(same).alias("_often")).agg(F.count("*").alias("_n")).filter(F.col("_n") > heavy).select("_often")
-    dealt = rows.join(often, F.col(same) == F.col("_often"), "left").withColumn(
+    dealt = rows.join(_often(rows, same, heavy), F.col(same) == F.col("_often"), "left").withColumn(
         "_deal", F.when(F.col("_often").isNotNull(), F.col("_salt") % 256).otherwise(0)
     )
     counts = dealt.groupBy(F.col(group).alias("_group"), F.col(part).alias("_of_part"), F.col("_deal").alias("_of_deal")).agg(F.count("*").alias("_n"))
@@ -96,6 +103,55 @@ def places(rows: DataFrame, group: str, part: str, order: list[str], same: str,
     return placed.join(starts, matches).select(*kept, (F.col("_start") + F.col("_place")).cast("long").alias(name))
 
 
+def _often(rows: DataFrame, same: str, heavy: int) -> DataFrame:
+    return rows.groupBy(F.col(same).alias("_often")).agg(F.count("*").alias("_n")).filter(F.col("_n") > heavy).select("_often")
+
+
+def ordered_places(rows: DataFrame, group: str, part: str, order: list[str], same: str, name: str, heavy: int = 50_000) -> DataFrame:
+    """``places`` in exactly that order, whatever repeats: only rows equal in ``order`` change places with each other.
+
+    Rows that share a value of ``same`` more than ``heavy`` times stand in the
+    order as one entry for each of their values of ``order``, with a weight.
+    Behind it they are equal, so they are counted off in 256 parts. So the
+    places don't depend on ``heavy`` or on the files; it only says how the work
+    is cut. ``order`` may take few values where ``same`` is given.
+    """
+    kept = rows.columns
+    rows = stored(rows.withColumn("_salt", F.monotonically_increasing_id()), "places")
+    marked = rows.join(_often(rows, same, heavy), F.col(same) == F.col("_often"), "left")
+    light = marked.filter("_often IS NULL")
+    crowd = marked.filter("_often IS NOT NULL").withColumn("_deal", F.col("_salt") % 256)
+    key = [group, part, *order]
+    dealt = crowd.groupBy(*key, "_deal").agg(F.count("*").alias("_weight"))
+    entries = dealt.groupBy(*key).agg(F.sum("_weight").alias("_weight"))
+    units = light.withColumn("_weight", F.lit(1).cast("long")).drop("_often").unionByName(
+        entries.withColumn("_salt", F.lit(-1).cast("long")), allowMissingColumns=True
+    )
+    before = Window.partitionBy("_group").orderBy("_of_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = units.groupBy(F.col(group).alias("_group"), F.col(part).alias("_of_part")).agg(F.sum("_weight").alias("_n"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    inside = Window.partitionBy(group, part).orderBy(*order, "_salt").rowsBetween(Window.unboundedPreceding, -1)
+    placed = units.withColumn("_inner", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+    matches = F.col(group).eqNullSafe(F.col("_group")) & (F.col(part) == F.col("_of_part"))
+    units = placed.join(starts, matches).withColumn(name, (F.col("_start") + F.col("_inner")).cast("long"))
+    # The crowd: the entry's place, the equal rows of the deals before, the place in the deal.
+    earlier = Window.partitionBy(*key).orderBy("_deal").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.withColumn("_ahead", F.coalesce(F.sum("_weight").over(earlier), F.lit(0)))
+    named = {c: f"_of_{i}" for i, c in enumerate([*key, "_deal"])}
+
+    def equal(columns: list[str]) -> Column:
+        return reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(named[c])) for c in columns))
+
+    at = units.filter("_salt = -1").select(*key, name).withColumnsRenamed({c: named[c] for c in key})
+    offsets = offsets.join(at, equal(key)).select(*(F.col(c).alias(f"_by_{i}") for i, c in enumerate([*key, "_deal"])), (F.col(name) + F.col("_ahead")).alias("_first"))
+    same_deal = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate([*key, "_deal"])))
+    nth = F.row_number().over(Window.partitionBy(*key, "_deal").orderBy("_salt")) - 1
+    counted = crowd.withColumn("_nth", nth).join(offsets, same_deal)
+    return units.filter("_salt >= 0").select(*kept, name).unionByName(
+        counted.select(*kept, (F.col("_first") + F.col("_nth")).cast("long").alias(name))
+    )
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of ``spark``, once per application."""
     context = spark.sparkContext

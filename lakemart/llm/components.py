@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import apart, stored
+from lakemart.llm.common import apart, discard, stored
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of ``edges`` (a, b) reaches.
 
     Alternates two steps until nothing changes. In the first every node points
@@ -16,20 +16,20 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     and itself. Each is one aggregation (smallest neighbour, combined before
     the shuffle) and one join; edges never multiply, and a node with very many
     neighbours is an ordinary skewed join key. Needs about log^2 n rounds at
-    most; every round is stored, so a lost executor costs one round.
+    most; every round is stored, so a lost executor costs one round, and takes
+    the place of the one before.
     Self loops are ignored. NULL is not a node.
     """
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     pairs = stored(pairs, "edges")
     state = _state(pairs)
-    for _ in range(rounds):
-        pairs = stored(_step(_step(pairs, large=True), large=False), "edges")
+    while True:
+        before, pairs = pairs, stored(_step(_step(pairs, large=True), large=False), "edges")
+        discard(before)
         after = _state(pairs)
         if after == state:
             break
         state = after
-    else:
-        raise RuntimeError("components did not settle")
     # Now every edge leads from a node to its root.
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("root"))

@@ -103,6 +103,7 @@ def train(packed: np.ndarray, names: list[str], landmarks: int, ridge: float = 1
     """Kernel ridge regression in the space of landmarks, which are taken from the languages in turn."""
     languages = sorted(set(names))
     label = np.array([languages.index(x) for x in names])
+    landmarks = max(landmarks, len(languages))  # each language has one at least
     turn = np.empty(len(label), dtype=np.int64)
     for k in range(len(languages)):
         turn[label == k] = np.arange((label == k).sum())

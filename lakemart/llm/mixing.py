@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import free_name, n_words, places, stored, with_row_key
+from lakemart.llm.common import free_name, n_words, ordered_places, stored, with_row_key
 
 #: Fraction bits of a rate; positions times a rate stay exact in 64 bits up to 2^38 documents a source.
 BITS = 24
@@ -65,7 +65,7 @@ def by_size(rows: DataFrame) -> DataFrame:
     # The number of doublings, and the four bits after the first of the size.
     sixteenth = F.expr("(length(bin(size + 1)) - 1) * 16 + (shiftright((size + 1) * 16, length(bin(size + 1)) - 1) & 15)").cast("long")
     parts = rows.withColumn("_part", sixteenth * 64 + F.conv(F.substring("digest", 1, 4), 16, 10).cast("long") % 64)
-    return places(parts, "source", "_part", ["size", "digest"], "digest", "place").drop("_part")
+    return ordered_places(parts, "source", "_part", ["size", "digest"], "digest", "place").drop("_part")
 
 
 def _div(a: Column, b: Column | int) -> Column:
@@ -136,7 +136,8 @@ def plan_mix(docs: DataFrame, keep: Sequence[str], weights: Sequence[float] = (1
 
     ``docs`` are read once; all later steps move a few numbers per document.
     Ties in size are ordered by a digest of the id; rows equal in that are
-    interchangeable. An empty or missing text has size 0, a source of such
+    interchangeable, however many they are and however the files are cut. An
+    empty or missing text has size 0, a source of such
     texts only has target 0 and is not taken.
     """
     key = F.md5(F.concat(F.lit(f"{seed}#"), F.coalesce(F.col(doc_id).cast("string"), F.lit("none"))))

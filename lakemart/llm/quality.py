@@ -121,13 +121,29 @@ def _values() -> dict[str, Column]:
     }
 
 
+def _below(k: int, n: int, p: float) -> float:
+    """Probability of at most ``k`` successes, for ``k`` up to the mean: terms fall from ``k`` down, so some spreads are enough."""
+    first = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    term, total = 1.0, 0.0
+    while k >= 0 and term > 1e-18 * total:
+        total += term
+        term *= k / (n - k + 1) * ((1 - p) / p)
+        k -= 1
+    return min(1.0, math.exp(first) * total)
+
+
 def tail(rejected: int, n: int, p: float) -> float:
     """Probability of at most ``rejected`` successes in ``n`` trials of probability ``p``."""
     if rejected >= n:
         return 1.0
-    log_p, log_q, all_n = math.log(p), math.log1p(-p), math.lgamma(n + 1)
-    terms = (all_n - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * log_p + (n - k) * log_q for k in range(rejected + 1))
-    return min(1.0, math.fsum(math.exp(t) for t in terms))
+    return _below(rejected, n, p) if rejected <= n * p else 1.0 - above(rejected, n, p)
+
+
+def above(rejected: int, n: int, p: float) -> float:
+    """Probability of more than ``rejected`` successes: at most so many failures."""
+    if rejected >= n:
+        return 0.0
+    return _below(n - rejected - 1, n, 1 - p) if rejected >= n * p else 1.0 - tail(rejected, n, p)
 
 
 def most_rejected(n: int, risk: float, error: float) -> int:
@@ -150,7 +166,7 @@ def most_likely(n: int, risk: float, error: float) -> int:
     lo, hi = -1, n
     while hi - lo > 1:
         middle = (lo + hi) // 2
-        lo, hi = (lo, middle) if 1 - tail(middle, n, risk) <= error else (middle, hi)
+        lo, hi = (lo, middle) if above(middle, n, risk) <= error else (middle, hi)
     return hi
 
 
