@@ -107,6 +107,17 @@ def _often(rows: DataFrame, same: str, heavy: int) -> DataFrame:
     return rows.groupBy(F.col(same).alias("_often")).agg(F.count("*").alias("_n")).filter(F.col("_n") > heavy).select("_often")
 
 
+def _by_weight(units: DataFrame, group: str, part: str, order: list[str], name: str) -> DataFrame:
+    """``units`` with the sum of the weights before them in their group, by (``part``, ``order``): a part's, then those in the part."""
+    before = Window.partitionBy("_group").orderBy("_of_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = units.groupBy(F.col(group).alias("_group"), F.col(part).alias("_of_part")).agg(F.sum("_weight").alias("_n"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    inside = Window.partitionBy(group, part).orderBy(*order, "_salt").rowsBetween(Window.unboundedPreceding, -1)
+    placed = units.withColumn("_inner", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+    matches = F.col(group).eqNullSafe(F.col("_group")) & (F.col(part) == F.col("_of_part"))
+    return placed.join(starts, matches).withColumn(name, (F.col("_start") + F.col("_inner")).cast("long"))
+
+
 def ordered_places(rows: DataFrame, group: str, part: str, order: list[str], same: str, name: str, heavy: int = 50_000) -> DataFrame:
     """``places`` in exactly that order, whatever repeats: only rows equal in ``order`` change places with each other.
 
@@ -117,23 +128,17 @@ def ordered_places(rows: DataFrame, group: str, part: str, order: list[str], sam
     is cut. ``order`` may take few values where ``same`` is given.
     """
     kept = rows.columns
-    rows = stored(rows.withColumn("_salt", F.monotonically_increasing_id()), "places")
-    marked = rows.join(_often(rows, same, heavy), F.col(same) == F.col("_often"), "left")
-    light = marked.filter("_often IS NULL")
+    rows = stored(rows.withColumn("_salt", F.monotonically_increasing_id()), "places").withColumn("_weight", F.lit(1).cast("long"))
+    often = stored(_often(rows, same, heavy), "often")
+    if often.isEmpty():
+        return _by_weight(rows, group, part, order, name).select(*kept, name)
+    marked = rows.join(often, F.col(same) == F.col("_often"), "left")
     crowd = marked.filter("_often IS NOT NULL").withColumn("_deal", F.col("_salt") % 256)
     key = [group, part, *order]
     dealt = crowd.groupBy(*key, "_deal").agg(F.count("*").alias("_weight"))
-    entries = dealt.groupBy(*key).agg(F.sum("_weight").alias("_weight"))
-    units = light.withColumn("_weight", F.lit(1).cast("long")).drop("_often").unionByName(
-        entries.withColumn("_salt", F.lit(-1).cast("long")), allowMissingColumns=True
-    )
-    before = Window.partitionBy("_group").orderBy("_of_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = units.groupBy(F.col(group).alias("_group"), F.col(part).alias("_of_part")).agg(F.sum("_weight").alias("_n"))
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    inside = Window.partitionBy(group, part).orderBy(*order, "_salt").rowsBetween(Window.unboundedPreceding, -1)
-    placed = units.withColumn("_inner", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-    matches = F.col(group).eqNullSafe(F.col("_group")) & (F.col(part) == F.col("_of_part"))
-    units = placed.join(starts, matches).withColumn(name, (F.col("_start") + F.col("_inner")).cast("long"))
+    entries = dealt.groupBy(*key).agg(F.sum("_weight").alias("_weight")).withColumn("_salt", F.lit(-1).cast("long"))
+    light = marked.filter("_often IS NULL").drop("_often")
+    units = _by_weight(light.unionByName(entries, allowMissingColumns=True), group, part, order, name)
     # The crowd: the entry's place, the equal rows of the deals before, the place in the deal.
     earlier = Window.partitionBy(*key).orderBy("_deal").rowsBetween(Window.unboundedPreceding, -1)
     offsets = dealt.withColumn("_ahead", F.coalesce(F.sum("_weight").over(earlier), F.lit(0)))
