@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from lakemart.functions import month_start, ratio, whole_months
 from lakemart.functions.numbers import percent
 from lakemart.functions.text import UNKNOWN
 from lakemart.operators.measures import measure_rows, stack
+from lakemart.operators.running import running_totals
 from lakemart.plans.reports import unit_margins
 from lakemart.plans.segments import CustomerRule, customer_segments, customer_spending
 from lakemart.plans.star import dated, per_member
@@ -79,6 +82,55 @@ def segment_concentration(fact: DataFrame, rule: CustomerRule) -> DataFrame:
     )
 
 
+def concentration(members: DataFrame, key: str, value: str, shares: Sequence[int] = (1, 5, 10, 20, 50, 80)) -> DataFrame:
+    """How much of the amount the top members hold, and how few hold so much of it, for each share in percent.
+
+    ``members`` has one row per ``key``. ``top_members`` is the share of all
+    members, rounded up; ``fewest_members`` the smallest number of top members
+    that hold the share of the amount (NULL without members). A NULL amount
+    counts as 0. Exact for any number of members: places and running amounts
+    come from ranges, and all shares are read off in one aggregation. Members of
+    one amount may change places, which changes no figure.
+    """
+    amounts = members.select(key, F.coalesce(F.col(value), F.lit(0)).cast("bigint").alias("_amount"))
+    ranked = running_totals(amounts, [F.col("_amount").desc(), F.col(key)], {"_place": F.lit(1), "_held": F.col("_amount")})
+    whole = ranked.agg(F.count("*").alias("n"), F.sum("_amount").alias("total"))
+    n, total = whole.select("n").scalar(), whole.select("total").scalar()
+    figures = []
+    for share in shares:
+        top = F.call_function("div", n * share + 99, F.lit(100))
+        reached = F.col("_held").cast("decimal(38,0)") * 100 >= total.cast("decimal(38,0)") * share
+        figures += [
+            F.coalesce(F.sum(F.when(F.col("_place") <= top, F.col("_amount"))), F.lit(0)).alias(f"_top_{share}"),
+            F.min(F.when(reached, F.col("_place"))).alias(f"_fewest_{share}"),
+        ]
+    sums = ranked.agg(F.count("*").alias("members"), F.coalesce(F.sum("_amount"), F.lit(0)).alias("amount"), *figures)
+    per_share = F.array(*(
+        F.struct(
+            F.lit(share).alias("share"),
+            F.call_function("div", F.col("members") * share + 99, F.lit(100)).alias("top_members"),
+            F.col(f"_top_{share}").alias("top_amount"),
+            F.col(f"_fewest_{share}").alias("fewest_members"),
+        )
+        for share in shares
+    ))
+    return sums.select("amount", F.inline(per_share)).select(
+        "share", "top_members", "top_amount", percent(F.col("top_amount"), F.col("amount")).alias("top_amount_share"), "fewest_members"
+    )
+
+
+def customer_concentration(fact: DataFrame) -> DataFrame:
+    """The top shares of all buyers and their part of all sales; lines without a customer are left out."""
+    known = fact.filter(F.col("customer_key").isNotNull())
+    return concentration(known.groupBy("customer_key").agg(F.sum("sales_amount").alias("sales")), "customer_key", "sales")
+
+
+def product_concentration(fact: DataFrame, products: DataFrame) -> DataFrame:
+    """The top shares of the whole catalog, products without a sale included, and their part of the sales."""
+    sold = fact.groupBy("product_key").agg(F.sum("sales_amount").alias("sales"))
+    return concentration(products.select("product_key").join(sold, "product_key", "left"), "product_key", "sales")
+
+
 def _markups(report: DataFrame, n: int, largest: bool) -> DataFrame:
     margin, cost = F.col("margin_per_unit"), F.col("cost")
     return unit_margins(report, n, largest).select(

@@ -40,15 +40,17 @@ def report_customers(
     Orders are counted distinct: Spark shuffles by customer *and* order first, so
     a customer with very many lines is spread over the tasks.
     """
+    figures = dated(fact).groupBy("customer_key").agg(
+        F.count_distinct("order_number").alias("total_orders"), sales_sum(), quantity_sum(), *_first_and_last("latest_order")
+    )
+    return customers_of(figures, customers, as_of, rule)
+
+
+def customers_of(figures: DataFrame, customers: DataFrame, as_of: dt.date, rule: CustomerRule) -> DataFrame:
+    """The report from orders, sales, quantity, first and last order of each customer."""
     today = F.lit(as_of)
-    rows = per_member(
-        dated(fact), "customer_key",
-        [
-            F.count_distinct("order_number").alias("total_orders"), sales_sum(), quantity_sum(),
-            *_first_and_last("latest_order"),
-        ],
-        customers, ["customer_number", "first_name", "last_name", "birth_date"],
-    ).withColumns({
+    attributes = customers.select("customer_key", "customer_number", "first_name", "last_name", "birth_date")
+    rows = figures.join(attributes, "customer_key", "left").withColumns({
         "age": whole_years(today, F.col("birth_date")),
         "lifespan_months": _lifespan("latest_order"),
     })
@@ -74,16 +76,20 @@ def report_products(
     fact: DataFrame, products: DataFrame, as_of: dt.date, rule: ProductRule = ProductRule()
 ) -> DataFrame:
     """One row per product with dated orders."""
+    figures = dated(fact).groupBy("product_key").agg(
+        *_first_and_last("last_sale_order"), sales_sum(), quantity_sum(),
+        F.count_distinct("customer_key").alias("total_customers"),
+        F.count_distinct("order_number").alias("total_orders"),
+    )
+    return products_of(figures, products, as_of, rule)
+
+
+def products_of(figures: DataFrame, products: DataFrame, as_of: dt.date, rule: ProductRule) -> DataFrame:
+    """The report from first and last sale, sales, quantity, customers and orders of each product."""
     attributes = ["product_name", "category", "sub_category", "product_line", "cost"]
-    rows = per_member(
-        dated(fact), "product_key",
-        [
-            *_first_and_last("last_sale_order"), sales_sum(), quantity_sum(),
-            F.count_distinct("customer_key").alias("total_customers"),
-            F.count_distinct("order_number").alias("total_orders"),
-        ],
-        products, attributes,
-    ).withColumn("lifespan_months", _lifespan("last_sale_order"))
+    rows = figures.join(products.select("product_key", *attributes), "product_key", "left").withColumn(
+        "lifespan_months", _lifespan("last_sale_order")
+    )
     return rows.select(
         "product_key",
         *attributes,

@@ -1,7 +1,7 @@
 """Change over time, running totals, year over year, shares.
 
 Windows run over aggregated rows only: at most one per calendar period, or one
-per product name and year.
+per product name and year. Running totals of single lines are summed in ranges.
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.functions import month_label, month_start, percent_text, wide_ratio, year_start
+from lakemart.functions import month_label, month_start, percent_text, ratio, wide_ratio, year_start
 from lakemart.functions.numbers import percent
+from lakemart.operators.running import running_totals
 from lakemart.plans.star import dated, per_member, quantity_sum, sales_sum
 
 
@@ -72,6 +73,26 @@ def running_by_month(fact: DataFrame) -> DataFrame:
     return _running(fact, month_start(F.col("order_date")), "order_date", F.year("order_date"))
 
 
+_LINE = ["order_date", "order_number", "product_key", "customer_key", "shipping_date", "due_date", "quantity", "price", "sales_amount"]
+
+
+def running_by_line(fact: DataFrame, restart: Column | None = None) -> DataFrame:
+    """Sales so far and the mean price so far at every dated line, by order date; anew for each ``restart`` period.
+
+    As many rows as lines, so the series is summed in ranges. Lines of a day
+    follow by order number and the remaining columns.
+    """
+    lines = dated(fact).select(*_LINE)
+    totals = {"running_sales": F.col("sales_amount"), "_prices": F.col("price"), "_priced": F.when(F.col("price").isNotNull(), 1)}
+    if restart is not None:
+        lines = lines.withColumn("_period", restart)
+    rows = running_totals(lines, _LINE, totals, [] if restart is None else ["_period"])
+    return rows.select(
+        "order_date", "order_number", "product_key", "sales_amount", "running_sales",
+        ratio(F.col("_prices"), F.col("_priced")).alias("moving_avg_price"),
+    )
+
+
 def _sign_label(difference: Column, above: str, below: str, same: str) -> Column:
     return F.when(difference > 0, above).when(difference < 0, below).otherwise(same)
 

@@ -81,6 +81,14 @@ class Warehouse:
         """A folder of its own for files a query writes, next to the stored tables."""
         return f"{self._folder}/runs/{uuid.uuid4().hex}"
 
+    def finished(self, plan: Callable[[], DataFrame]) -> DataFrame:
+        """The rows of a plan, written to a folder of their own; the scratch files it needed go."""
+        path = self.new_folder()
+        with scratch_space(self.spark):
+            rows = plan()
+            rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def _stored(self, table: str, plan: Callable[[], DataFrame], *settings: object) -> DataFrame:
         """The stored table; it is built if no application has. ``settings`` are all that it depends on besides the input."""
         suffix = f"-{hashlib.sha256(repr(settings).encode()).hexdigest()[:16]}" if settings else ""

@@ -32,6 +32,7 @@ from lakemart.plans import (
     star,
     trends,
 )
+from lakemart.plans.report_states import ReportStates
 from lakemart.plans.warehouse import Warehouse
 from lakemart.sources.buckets import Refresh, Upsert, hash_buckets
 from lakemart.sources.clustered import cluster
@@ -370,12 +371,31 @@ TRENDS: dict[str, Plan] = {
     "n20_running_by_month": lambda w: trends.running_by_month(w.fact),
     "n21_product_year_over_year": lambda w: trends.product_year_over_year(w.fact, w.products),
     "n22_category_shares": lambda w: trends.category_shares(w.fact, w.products),
+    "w6_running_sales_by_line": lambda w: w.finished(lambda: trends.running_by_line(w.fact)),
+    "w7_running_sales_by_line_and_year": lambda w: w.finished(
+        lambda: trends.running_by_line(w.fact, F.year("order_date"))
+    ),
     "n23_products_by_cost": lambda w: segments.products_by_cost(w.products),
     "n24_customer_segments": lambda w: segments.customer_segments(w.fact, w.settings.customer_rule),
     "n25_customer_segments_dated": lambda w: segments.customer_segments_dated(w.fact, w.settings.customer_rule),
 }
 
+def _states_of_two_batches(w: Warehouse) -> ReportStates:
+    """Merge the lines shipped by an earlier day, then the others, then these once more, which changes nothing."""
+    states = ReportStates(LayerStore(w.spark, w.new_folder()), buckets=8)
+    early = F.coalesce(F.col("shipping_date") <= F.lit(EARLIER), F.lit(False))
+    for lines, batch in ((early, "first"), (~early, "second"), (~early, "second")):
+        states.add(w.fact.filter(lines), batch)
+    return states
+
+
 REPORTS: dict[str, Plan] = {
+    "r1_report_customers_from_states": lambda w: _states_of_two_batches(w).report_customers(
+        w.customers, w.settings.as_of, w.settings.customer_rule
+    ),
+    "r3_report_products_from_states": lambda w: _states_of_two_batches(w).report_products(
+        w.products, w.settings.as_of, w.settings.product_rule
+    ),
     "r1_report_customers": lambda w: w.report_customers,
     "r2_top_customers": lambda w: reports.top_customers(w.report_customers),
     "r3_report_products": lambda w: w.report_products,
@@ -495,6 +515,8 @@ INSIGHTS: dict[str, Plan] = {
     "i3_sales_by_quarter": lambda w: trends.sales_by_quarter(w.fact),
     "i4_unsold_catalog": lambda w: insights.unsold_catalog(w.fact, w.products),
     "i5_segment_concentration": lambda w: insights.segment_concentration(w.fact, w.settings.customer_rule),
+    "i5_customer_concentration": lambda w: w.finished(lambda: insights.customer_concentration(w.fact)),
+    "n22_product_concentration": lambda w: w.finished(lambda: insights.product_concentration(w.fact, w.products)),
     "i6_markups": lambda w: insights.markups(w.report_products),
     "i6_margin_ratio": lambda w: insights.margin_ratio(w.report_products),
     "i7_date_impact": lambda w: insights.date_impact(w.fact),
