@@ -27,7 +27,7 @@ from lakemart.sources.layers import LayerStore
 
 LAYER = "report_states"
 
-#: What is counted by different values, for each report's key.
+#: What is counted by different values, for each report by its key.
 MEMBERS = {"customer_key": ("order_number",), "product_key": ("customer_key", "order_number")}
 
 _FIGURES = ("total_sales", "total_quantity", "latest_order", "first_order")
@@ -50,10 +50,11 @@ def _merged_sums(states: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ReportStates:
-    """The states in a store, cut into ``buckets`` by key."""
+    """The states of some reports (by ``keys``, the same from batch to batch) in a store, cut into ``buckets``."""
 
     store: LayerStore
     buckets: int = 64
+    keys: tuple[str, ...] = tuple(MEMBERS)
 
     def batches(self) -> set[str]:
         """Names of the batches that were merged."""
@@ -68,17 +69,18 @@ class ReportStates:
         A set of different values is a table of pairs, dealt by both columns, so
         the orders of a busy customer, or of no customer, lie in many buckets.
         """
-        if batch in self.batches():
+        known = self.batches()
+        if batch in known:
             return False
         lines = dated(lines)
         changes = {}
-        for key, members in MEMBERS.items():
+        for key in self.keys:
             changes[f"{key}_sums"] = Upsert(_sums(lines, key), (key,), hash_buckets(self.buckets, key), _merged_sums)
-            for member in members:
+            for member in MEMBERS[key]:
                 pairs = lines.filter(F.col(member).isNotNull()).select(F.col(key).alias("of"), F.col(member).alias("member")).distinct()
                 changes[f"{key}_{member}"] = Upsert(pairs, ("of", "member"), hash_buckets(self.buckets, "of", "member"))
-        name = self.store.spark.createDataFrame([(batch,)], "batch string")
-        self.store.load(LAYER, {**changes, "batches": Upsert(name, ("batch",), hash_buckets(1, "batch"))})
+        names = self.store.spark.createDataFrame([(name,) for name in sorted({*known, batch})], "batch string")
+        self.store.load(LAYER, {**changes, "batches": names.coalesce(1)})
         return True
 
     def _figures(self, key: str, counts: dict[str, str]) -> DataFrame:

@@ -36,6 +36,7 @@ from lakemart.plans.report_states import ReportStates
 from lakemart.plans.warehouse import Warehouse
 from lakemart.sources.buckets import Refresh, Upsert, hash_buckets
 from lakemart.sources.clustered import cluster
+from lakemart.sources.contracts import ContractBroken
 from lakemart.sources.csv_files import read_csv, write_csv
 from lakemart.sources.layers import LayerStore, RulesBroken, export
 
@@ -143,6 +144,21 @@ def _merged_customers(w: Warehouse) -> DataFrame:
     return silver.trim_and_name(store.read("latest", CUSTOMERS))
 
 
+def _sales_across_loads(w: Warehouse) -> DataFrame:
+    """Load sales of an earlier day without their price, then all with price and wider amounts; read both loads by
+    the contract. A third load that lost a column is refused."""
+    store = LayerStore(w.spark, w.new_folder())
+    sales = w.clean(SALES).select("sls_ord_num", "sls_prd_key", "sls_ship_dt", "sls_sales")
+    wider = w.clean(SALES).select("sls_ord_num", "sls_prd_key", "sls_ship_dt", F.col("sls_sales").cast("long"), "sls_price")
+    first = store.load("silver", {SALES: sales.filter(F.col("sls_ship_dt") <= F.lit(EARLIER))}, contracts={SALES: "widen"})
+    store.load("silver", {SALES: wider})
+    try:
+        store.load("silver", {SALES: wider.drop("sls_sales")})
+    except ContractBroken:
+        pass
+    return store.read_loads("silver", SALES).withColumn("load", F.when(F.col("load_id") == first, 1).otherwise(2)).drop("load_id")
+
+
 def _sales_after_failure(w: Warehouse) -> DataFrame:
     """Load the clean sales, let a second load fail half-way, and read what is current."""
     store = LayerStore(w.spark, w.new_folder())
@@ -162,6 +178,7 @@ LOADS: dict[str, Plan] = {
     }.items()},
     "s5_reloaded_sales": _reloaded_sales,
     "s7_failed_load_keeps_sales": _sales_after_failure,
+    "s2_sales_across_loads": _sales_across_loads,
     "s8_load_audit": _load_audit,
     "s10_published_reports": _published_reports,
     "s10_published_star": _published_star,
@@ -380,9 +397,9 @@ TRENDS: dict[str, Plan] = {
     "n25_customer_segments_dated": lambda w: segments.customer_segments_dated(w.fact, w.settings.customer_rule),
 }
 
-def _states_of_two_batches(w: Warehouse) -> ReportStates:
+def _states_of_two_batches(w: Warehouse, key: str) -> ReportStates:
     """Merge the lines shipped by an earlier day, then the others, then these once more, which changes nothing."""
-    states = ReportStates(LayerStore(w.spark, w.new_folder()), buckets=8)
+    states = ReportStates(LayerStore(w.spark, w.new_folder()), 8, (key,))
     early = F.coalesce(F.col("shipping_date") <= F.lit(EARLIER), F.lit(False))
     for lines, batch in ((early, "first"), (~early, "second"), (~early, "second")):
         states.add(w.fact.filter(lines), batch)
@@ -390,10 +407,10 @@ def _states_of_two_batches(w: Warehouse) -> ReportStates:
 
 
 REPORTS: dict[str, Plan] = {
-    "r1_report_customers_from_states": lambda w: _states_of_two_batches(w).report_customers(
+    "r1_report_customers_from_states": lambda w: _states_of_two_batches(w, "customer_key").report_customers(
         w.customers, w.settings.as_of, w.settings.customer_rule
     ),
-    "r3_report_products_from_states": lambda w: _states_of_two_batches(w).report_products(
+    "r3_report_products_from_states": lambda w: _states_of_two_batches(w, "product_key").report_products(
         w.products, w.settings.as_of, w.settings.product_rule
     ),
     "r1_report_customers": lambda w: w.report_customers,

@@ -8,6 +8,7 @@ one, so a load that fails half-way, or whose driver dies, changes nothing.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -20,8 +21,10 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from lakemart.operators.checks import KeyRule, RowRule, Rule, violations
+from lakemart.operators.measures import stack
 from lakemart.sources import buckets
 from lakemart.sources.buckets import Refresh, Upsert
+from lakemart.sources.contracts import SAME, VERSIONS, WIDEN, Contract, ContractBroken
 from lakemart.sources.files import children, delete, scratch_space
 
 AUDIT = T.StructType([
@@ -110,7 +113,8 @@ class LayerStore:
         return {table: self.read(layer, table, load_id) for table in tables}
 
     def load(
-        self, layer: str, tables: Mapping[str, Table], rules: Mapping[str, Sequence[Rule]] | None = None, on_broken: str = "refuse"
+        self, layer: str, tables: Mapping[str, Table], rules: Mapping[str, Sequence[Rule]] | None = None, on_broken: str = "refuse",
+        contracts: Mapping[str, str] | None = None,
     ) -> str:
         """Write all tables of a layer, or none: an error is recorded and raised again.
 
@@ -125,20 +129,33 @@ class LayerStore:
         rule is broken the load is not committed and ``RulesBroken`` is raised,
         unless ``on_broken`` is ``record``. Of bucketed tables the rows written
         are checked; the others were when they were.
+
+        ``contracts`` put tables under a contract from this load on: ``widen``
+        lets later loads add columns and widen types, ``same`` nothing. A table
+        under contract stays so; a load that breaks it raises ``ContractBroken``
+        before the table is written.
         """
         if on_broken not in ("refuse", "record"):
             raise ValueError(f"on_broken must be refuse or record, not {on_broken}")
+        if wrong := set((contracts or {}).values()) - {WIDEN, SAME}:
+            raise ValueError(f"a contract allows {WIDEN} or {SAME}, not {', '.join(sorted(wrong))}")
         load_id = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         began, clock = dt.datetime.now(dt.UTC), time.monotonic()
         log, total, table = [], 0, None
         written: dict[str, DataFrame] = {}
         found: dict[str, dict[str, int]] = {}
+        promised: dict[str, Contract] = {}
         try:
+            under = self._contracts(layer)
             for table, rows_or_plan in tables.items():
                 table_began, table_clock = dt.datetime.now(dt.UTC), time.monotonic()
                 path, message, own = self.path(layer, table, load_id), None, list((rules or {}).get(table, ()))
                 with scratch_space(self.spark):
                     df = rows_or_plan(written) if callable(rows_or_plan) else rows_or_plan
+                    allows = (contracts or {}).get(table)
+                    if allows or table in under:
+                        columns = df.rows.schema if isinstance(df, Refresh | Upsert) else df.schema
+                        promised[table] = _kept(layer, table, under.get(table), allows, columns)
                     watch = _Watch(own)
                     if isinstance(df, Refresh | Upsert):
                         rows, some, all_ = buckets.write(self.spark, path.rsplit("/", 1)[0], load_id, df, self._current_buckets(layer, table), watch.over)
@@ -155,6 +172,7 @@ class LayerStore:
                 log.append((load_id, layer, table, rows, table_began, _since(table_clock), "written", message))
             table = None
             self._record(load_id, layer, found)
+            self._promise(load_id, layer, {t: c for t, c in promised.items() if c != under.get(t)})
             if on_broken == "refuse" and any(n for counts in found.values() for n in counts.values()):
                 raise RulesBroken(layer, found)
         except Exception as error:
@@ -170,6 +188,53 @@ class LayerStore:
         if rows:
             self.spark.createDataFrame(rows, FINDINGS).coalesce(1).write.mode("append").parquet(f"{self.base.rstrip('/')}/_findings")
 
+    def _versions(self, layer: str) -> DataFrame:
+        """Versions of the contracts of a layer that committed loads have made."""
+        path = "_contracts"
+        if path not in children(self.spark, self.base):
+            return self.spark.createDataFrame([], VERSIONS)
+        made = self.spark.read.schema(VERSIONS).parquet(f"{self.base.rstrip('/')}/{path}").filter(F.col("layer") == layer)
+        return made.join(self._committed(layer).select("load_id"), "load_id", "left_semi")
+
+    def _committed(self, layer: str) -> DataFrame:
+        return self.audit().filter((F.col("layer") == layer) & F.col("table_name").isNull() & (F.col("status") == "loaded"))
+
+    def _contracts(self, layer: str) -> dict[str, Contract]:
+        """The current contract of every table that has one; one row per table and version is read."""
+        rows = sorted(self._versions(layer).collect(), key=lambda r: (r["version"], r["load_id"]))
+        return {r["table_name"]: Contract(r["version"], r["allows"], T.StructType.fromJson(json.loads(r["schema"]))) for r in rows}
+
+    def _promise(self, load_id: str, layer: str, promised: Mapping[str, Contract]) -> None:
+        rows = [(layer, table, c.version, load_id, c.allows, c.schema.json()) for table, c in promised.items()]
+        if rows:
+            self.spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(f"{self.base.rstrip('/')}/_contracts")
+
+    def contract(self, layer: str, table: str) -> Contract | None:
+        """What a table promises at present; None for a table without contract."""
+        return self._contracts(layer).get(table)
+
+    def read_loads(self, layer: str, table: str) -> DataFrame:
+        """The rows of every committed load of a table that is still there, by the current contract, with their ``load_id``.
+
+        Loads of before the contract have to fit it. Whole tables are read in one scan; bucketed ones load by load.
+        """
+        contract = self.contract(layer, table)
+        if contract is None:
+            raise LookupError(f"{layer}.{table} has no contract")
+        base = f"{self.base.rstrip('/')}/{layer}/{table}"
+        there = set(children(self.spark, base))
+        loads = sorted(r["load_id"] for r in self._committed(layer).select("load_id").collect() if r["load_id"] in there)
+        bucketed = [i for i in loads if buckets.is_bucketed(self.spark, f"{base}/{i}")]
+        whole = [f"{base}/{i}" for i in loads if i not in bucketed]
+        parts = [
+            buckets.read(self.spark, base, buckets.manifest(self.spark, f"{base}/{i}"), contract.schema).withColumn("load_id", F.lit(i))
+            for i in bucketed
+        ]
+        if whole:
+            of = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+            parts.append(self.spark.read.schema(contract.schema).parquet(*whole).withColumn("load_id", of))
+        return stack(*parts)
+
     def findings(self, layer: str) -> DataFrame:
         """What the rules of every load of a layer found, of refused loads, too."""
         try:
@@ -265,6 +330,16 @@ class _Watch:
         return {r.name: counts.get(f"rule_{i}", 0) for i, r in enumerate(self._rules)}
 
 
+def _kept(layer: str, table: str, contract: Contract | None, allows: str | None, columns: T.StructType) -> Contract:
+    """The contract after a load with these columns."""
+    if contract is None:
+        return Contract(1, allows, columns)
+    if breaks := contract.breaks(columns):
+        raise ContractBroken(layer, table, contract.version, breaks)
+    following = contract.following(columns)
+    return Contract(following.version, allows or contract.allows, following.schema)
+
+
 def _since(clock: float) -> Decimal:
     return Decimal(str(round(time.monotonic() - clock, 2)))
 
