@@ -1,8 +1,8 @@
 """Operator 5: licences by ordered signature rules, with DataFrame functions only.
 
 A rule is a regular expression over the words of a text, with a label and a
-priority. Rules come from a table of licence names and a table of ways to refer
-to a licence. From each expression follow sets of keywords of which every match
+priority. Rules come from a table of licence names, a table of ways to refer to
+a licence, and passages of licences and notices written one by one. From each expression follow sets of keywords of which every match
 has one. The words of a text are first searched for a few strings of which every
 match has one, then for the keywords, and only the rules that are left are run. Of the places found, one that
 lies inside another of the same or a better priority is dropped, so "GNU
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import free_name
+from lakemart.llm.license_texts import BODIES, NOTICES, SHARED
 
 #: A word, before and after A-Z is lower-cased, and what stands between words.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -117,7 +118,10 @@ FORMS: list[tuple[int, float, str]] = [
     (4, 0.6, "{name}(?: public)? licen[cs]e"),
 ]
 
-#: Rules without a licence's name: label, priority, confidence and pattern.
+#: What licences say: priority, confidence and patterns by label.
+TEXTS: list[tuple[int, float, dict[str, list[str]]]] = [(2, 0.95, NOTICES), (2, 0.9, BODIES), (4, 0.6, SHARED)]
+
+#: Rules of other kinds: label, priority, confidence and pattern.
 OTHERS: list[tuple[str, int, float, str]] = [
     ("all-rights-reserved", 3, 0.7, "all rights reserved"),
     ("proprietary", 3, 0.7, "(?:proprietary|confidential) and (?:proprietary|confidential)"),
@@ -126,17 +130,13 @@ OTHERS: list[tuple[str, int, float, str]] = [
     ("gpl-3", 2, 0.95, f"gnu general public licen[cs]e{_V} ?3(?: 0)?{_OR}"),
     ("gpl-2", 2, 0.95, f"gnu general public licen[cs]e{_V} ?2(?: 0)?{_OR}"),
     ("apache-2", 3, 0.8, f"apache licen[cs]e{_V} ?2(?: 0)?"),
-    ("mit", 4, 0.6, "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("bsd", 4, 0.6, "redistribution and use in source and binary forms"),
-    ("isc", 4, 0.6, "permission to use copy modify and or distribute this software"),
     ("copyright", 5, 0.3, "copyright(?: c)?(?: [12][0-9]{3})+"),
 ]
 LAST_PRIORITY = 5
 
-#: Every match of a rule or base phrase, with the blanks around it, has all the strings of one of these groups.
-GATES = [["licen"], ["cc by nc"], ["ed under"], ["available under"], ["under the terms"], ["all rights reserved"], ["proprietary"],
-         ["confidential"], ["not be copied"], ["not be reproduced"], ["not be redistributed"], ["the public domain"],
-         ["permission is hereby granted"], ["redistribution and use"], ["permission to use copy"], ["copyright"]]
+#: Strings that many rules share and other texts seldom hold.
+STEMS = ["licen", "cc by nc", "ed under", "available under", "under the terms", "rights reserved", "redistribut", "the public domain", "hereby",
+         "copyright", "warrant", "be liable", "permission", "without restriction", "acknowledg", "product includes", "misrepresented"]
 
 #: A keyword set of more strings is cut into two.
 MOST = 6
@@ -220,14 +220,33 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """Base phrases first, then every name in every form, then the others."""
+    """Base phrases first, then every name in every form, what licences and notices say, and the others."""
     out = [Rule(label, 0, 1.0, phrase, True) for phrase, label in BASE.items()]
     for priority, confidence, form in FORMS:
         out += [Rule(label, priority, confidence, form.format(name=f"(?:{name})", spdx=spdx)) for label, name, spdx in NAMES]
+    out += [
+        Rule(label, priority, confidence, pattern)
+        for priority, confidence, said in TEXTS for label, patterns in said.items() for pattern in patterns
+    ]
     out += [Rule(label, priority, confidence, pattern) for label, priority, confidence, pattern in OTHERS]
     return out
 
 
+def gates(known: Sequence[Rule]) -> list[list[str]]:
+    """Groups of strings; every match of a rule, with the blanks around it, has all the strings of one of them.
+
+    A rule that no stem stands for adds one set of its keywords.
+    """
+    out = list(STEMS)
+    for r in known:
+        if not any(all(any(s in x for s in out) for x in k) for k in r.keys):
+            out += (s.strip() for s in max(r.keys, key=lambda k: (len(k) == 1, min(map(len, k)))))
+    return [[s] for s in out]
+
+
+GATES = gates(rules())
+
+
 def _literal(known: Sequence[Rule]) -> Column:
     return F.array(*(
         F.struct(
