@@ -240,7 +240,7 @@ def gates(known: Sequence[Rule]) -> list[list[str]]:
     out = list(STEMS)
     for r in known:
         if not any(all(any(s in x for s in out) for x in k) for k in r.keys):
-            out += (s.strip() for s in max(r.keys, key=lambda k: (len(k) == 1, min(map(len, k)))))
+            out += (s.strip() for s in max(r.keys, key=lambda k: (min(map(len, k)), -len(k))))
     return [[s] for s in out]
 
 
