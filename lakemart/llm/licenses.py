@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import free_name
 from lakemart.llm.license_texts import BODIES, NOTICES, SHARED
 
-#: A word, before and after A-Z is lower-cased, and what stands between words.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words, before and after A-Z is lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -268,16 +267,18 @@ def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text")
     NULL and empty texts have no words, no labels and score 0. Repeated rows
     and ids are scanned on their own. The score is the best confidence of a
     place that is left. Rows move only with what was found in them, never with
-    their text.
+    their text. Letters outside of A-Z are no part of any rule, so they may be
+    lower-cased, too, but for the two that would turn into a letter of a-z.
     """
     row, norm = free_name(docs, "_row"), "_norm"
     kept = F.struct(*(F.col(c) for c in keep)).alias("kept")
-    words = F.regexp_replace(F.translate(F.col(text), UPPER, LOWER), BETWEEN, " ")
+    blanks = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
+    odd = F.contains(F.col(text), F.lit("\u0130")) | F.contains(F.col(text), F.lit("\u212a"))
+    small = F.when(odd, F.translate(F.col(text), UPPER, LOWER)).otherwise(F.lower(F.col(text)))
     normal = docs.select(
         kept, F.monotonically_increasing_id().alias(row),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
-        F.concat(F.lit(" "), F.trim(words), F.lit(" ")).alias(norm),
-    )
+        F.concat(F.lit(" "), F.trim(F.regexp_replace(small, BETWEEN, " ")), F.lit(" ")).alias(norm),
+    ).select("kept", row, F.when(F.col(norm) == "  ", 0).otherwise(F.coalesce(blanks(F.col(norm)) - 1, F.lit(0))).cast("long").alias("n_words"), norm)
     gate = F.lit(False)
     for group in GATES:
         every = F.lit(True)
@@ -295,7 +296,6 @@ def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text")
     # Between two matches stands a piece: lengths and blanks of both give the places.
     match = F.regexp_extract_all(F.col(norm), F.col("r.pattern"), F.lit(0))
     piece = F.split(F.col(norm), F.col("r.pattern"), -1)
-    blanks = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
     runs = F.when(
         F.size(match) > 0,
         F.zip_with(

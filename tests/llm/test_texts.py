@@ -277,6 +277,41 @@ def test_licenses_without_prefilter(spark):
         assert left and found[n] == (",".join(sorted({r.label for r in left})), max(r.confidence for r in left)), text
 
 
+def test_licenses_lower_case(spark):
+    """Of all letters only two turn into a-z when they are lower-cased; words with these stay what they are."""
+    every = "".join(chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and c not in (0x130, 0x212A))
+    docs = spark.createDataFrame([(0, every)], "doc_id long, text string")
+    assert docs.filter(F.lower("text").rlike(r"[\x00-\x7F]")).count() == 0
+    made = ["Under the M\u0130T License", "Under the M\u0130T licen\u017fe. UNDER THE MIT LICENSE", "\u212a under \u00c9 the MIT License \u03a3", "\u0130", "  \u212a  "]
+    found = {r["doc_id"]: (r["n_words"], r["n_base"], r["first_word"]) for r in licenses.scan(
+        spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    assert found == {0: (4, 0, None), 1: (8, 1, 4), 2: (7, 0, None), 3: (1, 0, None), 4: (1, 0, None)}
+
+
+#: Whole notices and what is to be found in them.
+NOTICES = [
+    ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+     "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.", "gpl-3"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+     "the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "lgpl-2.1"),
+    ('Licensed under the Apache License, Version 2.0 (the "License");\n you may not use this file except in compliance with the License.', "apache-2"),
+    ("The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.", "mit"),
+    ("Neither the name of Example Labs, Inc. nor the names of its contributors may be used to endorse or promote products derived from this software "
+     "without specific prior written permission.", "bsd-3-clause"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("Unauthorized copying of this file, via any medium is strictly prohibited", "proprietary"),
+    ("The copy of this file was lost, and any medium is as good as another; she was liable to forget the exception.", ""),
+]
+
+
+def test_whole_notices(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(NOTICES)], "doc_id long, text string")
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()}
+    assert found == {i: label for i, (_, label) in enumerate(NOTICES)}
+
+
 # 8 ------------------------------------------------------------------------------------------------------------------
 
 
