@@ -12,6 +12,7 @@ Base phrases are counted besides; their labels always stay.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -247,14 +248,16 @@ GATES = gates(rules())
 
 
 def _literal(known: Sequence[Rule]) -> Column:
-    return F.array(*(
-        F.struct(
-            F.lit(i).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence"),
-            F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"), F.array(*(_strings(k) for k in r.keys)).alias("keys"),
-            F.lit(r.base).alias("base"),
-        )
+    """The rules as one constant; Spark reads it once, while it plans."""
+    rows = [
+        {"rule": i, "label": r.label, "priority": r.priority, "confidence": r.confidence, "pattern": f"(?<= )(?:{r.pattern})(?= )",
+         "keys": r.keys, "base": r.base}
         for i, r in enumerate(known)
-    ))
+    ]
+    return F.from_json(
+        F.lit(json.dumps(rows)),
+        "array<struct<rule: int, label: string, priority: int, confidence: double, pattern: string, keys: array<array<string>>, base: boolean>>",
+    )
 
 
 def _strings(values: Sequence[str]) -> Column:
@@ -292,18 +295,20 @@ def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text")
     found = F.flatten(F.transform(
         F.array(there), lambda there: F.filter(_literal(known), lambda r: F.forall(r["keys"], lambda k: F.arrays_overlap(k, there)))
     ))
-    tried = gated.select("kept", row, "n_words", norm, F.explode_outer(found).alias("r"))
-    # Between two matches stands a piece: lengths and blanks of both give the places.
-    match = F.regexp_extract_all(F.col(norm), F.col("r.pattern"), F.lit(0))
-    piece = F.split(F.col(norm), F.col("r.pattern"), -1)
+    # No rule is looked at for a text that no gate lets in.
+    tried = gated.select("kept", row, "n_words", norm, F.explode_outer(F.when(F.col(norm).isNotNull(), found)).alias("r"))
+    # Between two matches stands a piece: lengths and blanks of both give the places. A column of its own is matched once.
+    matched = tried.select(
+        "kept", row, "n_words", "r", norm, F.regexp_extract_all(F.col(norm), F.col("r.pattern"), F.lit(0)).alias("matches")
+    )
     runs = F.when(
-        F.size(match) > 0,
+        F.size("matches") > 0,
         F.zip_with(
-            match, F.slice(piece, 1, F.size(match)),
+            "matches", F.slice(F.split(F.col(norm), F.col("r.pattern"), -1), 1, F.size("matches")),
             lambda m, p: F.struct(F.length(m).alias("m"), F.length(p).alias("p"), blanks(m).alias("bm"), blanks(p).alias("bp")),
         ),
     )
-    places = tried.select(
+    places = matched.select(
         "kept", row, "n_words", F.col("r.rule").alias("rule"), F.col("r.label").alias("label"), F.col("r.priority").alias("priority"),
         F.col("r.confidence").alias("confidence"), F.col("r.base").alias("base"), runs.alias("runs"),
     )
