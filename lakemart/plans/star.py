@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import month_start
 from lakemart.operators.keys import add_dense_key
 from lakemart.operators.member_sets import distinct_counts, member_sets
+from lakemart.sources.files import scratch_folder
 
 
 def dated(fact: DataFrame) -> DataFrame:
@@ -42,12 +43,22 @@ def quantity_sum() -> Column:
 def member_sets_by_month(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Per month and category the sets of customers, orders and products, to be merged for any period or category.
 
-    Order numbers are texts, so orders are numbered first. Undated lines have a
-    NULL month, lines without a category a NULL category.
+    Order numbers are texts, so orders are numbered first: in the order of their
+    first months, as the orders of a month then share few buckets. Undated lines
+    have a NULL month, lines without a category a NULL category. The lines are
+    written once, with numbers only, for the sets to be read off. To be used
+    inside a ``scratch_space``.
     """
-    orders = add_dense_key(fact.select("order_number").distinct(), "_order", F.col("order_number"))
-    lines = fact.select(month_start(F.col("order_date")).alias("month"), "product_key", "customer_key", "order_number")
-    lines = lines.join(products.select("product_key", "category"), "product_key", "left").join(orders, "order_number", "left")
+    month = month_start(F.col("order_date")).alias("month")
+    first = fact.filter(F.col("order_number").isNotNull()).groupBy("order_number").agg(F.min(month).alias("_month"))
+    orders = add_dense_key(first, "_order", F.col("_month"), F.col("order_number")).select("order_number", "_order")
+    lines = (
+        fact.select(month, "product_key", "customer_key", "order_number").join(orders, "order_number", "left")
+        .join(products.select("product_key", "category"), "product_key", "left").drop("order_number")
+    )
+    folder = scratch_folder(fact.sparkSession)
+    lines.write.parquet(folder)
+    lines = fact.sparkSession.read.schema(lines.schema).parquet(folder)
     return member_sets(lines, ["month", "category"], {"customer": "customer_key", "order": "_order", "product": "product_key"})
 
 

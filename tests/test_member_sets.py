@@ -5,6 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from lakemart.operators.member_sets import distinct_counts, member_sets, merged_sets
+from lakemart.plans import star
+from lakemart.sources.files import scratch_space
 
 SCHEMA = "day int, kind string, a long, b int"
 
@@ -49,3 +51,31 @@ def test_sets_without_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     sets = member_sets(empty, ["day"], {"a": "a"})
     assert sets.count() == 0 and distinct_counts(sets, ["day"], {"a": "n"}).count() == 0
+
+
+def test_members_meet_before_bitmaps_are_made(spark):
+    """No bitmap of one task's members is moved, and AQE doesn't merge the members, which are small until they are sorted."""
+    sets = member_sets(lines(spark, 300, 4), ["day", "kind"], {"a": "a", "b": "b"})
+    text = sets._jdf.queryExecution().executedPlan().toString()
+    assert text.count("REPARTITION_BY_NUM") == 4 and "ENSURE_REQUIREMENTS" not in text
+
+
+def test_orders_of_a_month_lie_together(spark):
+    """Order numbers that take turns in three months: a month has bitmaps of its own share of the orders only."""
+    n = F.col("id")
+    fact = spark.range(70_000).select(
+        F.concat(F.lit("SO"), n).alias("order_number"), (n % 7).alias("product_key"), (n % 5).alias("customer_key"),
+        F.add_months(F.lit("1997-01-15").cast("date"), (n % 3).cast("int")).alias("order_date"),
+    )
+    more = fact.limit(1).select(
+        F.explode(F.array(F.lit("SO1"), F.lit("SO2"), F.lit(None).cast("string"))).alias("order_number"), "product_key", "customer_key",
+        F.lit(None).cast("date").alias("order_date"),
+    )
+    products = spark.range(7).select(F.col("id").alias("product_key"), F.lit("Bikes").alias("category"))
+    with scratch_space(spark):
+        sets = star.member_sets_by_month(fact.unionByName(more), products).cache()
+        assert sets.filter("member = 'order'").count() <= 7
+        found = {str(r["month"]): tuple(r)[1:] for r in star.reach(sets, "month").collect()}
+        assert tuple(star.reach(sets).first()) == (5, 70_000, 7)
+    each = {f"1997-0{m + 1}-01": (5, len(range(m, 70_000, 3)), 7) for m in range(3)}
+    assert found == each | {"None": (1, 2, 1)}
