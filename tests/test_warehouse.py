@@ -23,6 +23,21 @@ def test_settings_have_tables_of_their_own(spark, testdata, warehouse):
     assert early.raw("crm_sales_details").inputFiles() == warehouse.raw("crm_sales_details").inputFiles()
 
 
+def test_fact_is_keyed_without_storing_the_layers_of_lines(spark, testdata, tmp_path):
+    """From the input, from stored raw lines and from stored clean lines: the same rows."""
+    for name in TABLES:
+        spark.read.parquet(f"{testdata}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    table, found = "crm_sales_details", []
+    for day, store in ((1, None), (2, "raw"), (3, "clean")):  # a fact for each reporting day
+        w = Warehouse(spark, str(tmp_path), Settings(as_of=dt.date(2002, 1, day)))
+        if store:
+            getattr(w, store)(table)
+        found.append(sorted(map(tuple, w.fact.collect()), key=repr))
+        stored = [w._if_stored(f"{layer}_{table}") is not None for layer in ("bronze", "silver")]
+        assert stored == [store is not None, store == "clean"]
+    assert found[0] == found[1] == found[2] and len(found[0]) == spark.read.parquet(f"{testdata}/lineitem.parquet").count()
+
+
 def test_another_application_builds_nothing(spark, testdata, warehouse, monkeypatch):
     from lakemart.plans import warehouse as module
 
