@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions import concat_skip_null, int_div, ratio, whole_months, whole_years
 from lakemart.operators.ranking import best_with_ties
+from lakemart.operators.spreading import spread
 from lakemart.plans.segments import CustomerRule, ProductRule, AGE_BANDS
 from lakemart.plans.star import dated, per_member, quantity_sum, sales_sum
 
@@ -75,11 +76,26 @@ def customers_of(figures: DataFrame, customers: DataFrame, as_of: dt.date, rule:
 def report_products(
     fact: DataFrame, products: DataFrame, as_of: dt.date, rule: ProductRule = ProductRule()
 ) -> DataFrame:
-    """One row per product with dated orders."""
-    figures = dated(fact).groupBy("product_key").agg(
-        *_first_and_last("last_sale_order"), sales_sum(), quantity_sum(),
-        F.count_distinct("customer_key").alias("total_customers"),
-        F.count_distinct("order_number").alias("total_orders"),
+    """One row per product with dated orders.
+
+    Lines are cut to pairs of product and customer, with their sums, and to
+    pairs of product and order, so a product with very many lines is spread over
+    the tasks. Each kind of pairs is a shuffle of its own columns: both distinct
+    counts in one aggregation would hold every line three times, with all columns.
+    """
+    lines, count = dated(fact), fact.count()
+    pairs = spread(
+        lines.select("product_key", "customer_key", "order_date", "sales_amount", "quantity"), count, "product_key", "customer_key"
+    ).groupBy("product_key", "customer_key").agg(sales_sum(), quantity_sum(), *_first_and_last("last_sale_order"))
+    orders = spread(lines.select("product_key", "order_number"), count, "product_key", "order_number").distinct()
+    member = lambda key: F.col(key).isNotNull().cast("long")
+    both = pairs.withColumns({"_customer": member("customer_key"), "_order": F.lit(0).cast("long")}).unionByName(
+        orders.withColumns({"_customer": F.lit(0).cast("long"), "_order": member("order_number")}), allowMissingColumns=True
+    )
+    figures = both.groupBy("product_key").agg(
+        F.max("last_sale_order").alias("last_sale_order"), F.min("_first").alias("_first"),
+        F.sum("total_sales").alias("total_sales"), F.sum("total_quantity").alias("total_quantity"),
+        F.sum("_customer").alias("total_customers"), F.sum("_order").alias("total_orders"),
     )
     return products_of(figures, products, as_of, rule)
 

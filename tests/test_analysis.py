@@ -61,6 +61,24 @@ def test_product_report(star):
     assert got[1]["avg_selling_price"] == Decimal("294.2")
 
 
+def test_product_figures_hold_no_line_three_times(star, spark):
+    """Orders of two customers and repeated lines; each distinct count has a shuffle of its own columns."""
+    fact, _, products = star
+    n = F.col("id")
+    more = spark.range(300).select(
+        F.concat(F.lit("M"), n % 70).alias("order_number"), F.when(n % 9 > 0, n % 4).alias("product_key"),
+        F.when(n % 11 > 0, n % 13).alias("customer_key"), F.date_add(F.lit(D(2014, 1, 1)), (n % 50).cast("int")).alias("order_date"),
+        F.when(n % 5 > 0, n).cast("int").alias("sales_amount"), (n % 3).cast("int").alias("quantity"),
+    )
+    lines = fact.unionByName(more, allowMissingColumns=True)
+    report = reports.report_products(lines, products, AS_OF)
+    assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    direct = lines.filter("order_date IS NOT NULL").groupBy("product_key").agg(
+        F.max("order_date"), F.sum("sales_amount"), F.sum("quantity"), F.count_distinct("customer_key"), F.count_distinct("order_number"))
+    names = ("product_key", "last_sale_order", "total_sales", "total_quantity", "total_customers", "total_orders")
+    assert sorted(map(tuple, report.select(*names).collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
+
+
 def test_zero_quantity_has_no_price(star, spark):
     fact, _, products = star
     got = reports.report_products(fact.filter("order_number = 'S3'"), products, AS_OF).collect()[0]
@@ -186,6 +204,12 @@ def test_monthly_table_keeps_all_dated_sales(star):
     assert {r["customer_segment"] for r in rows} == {"VIP", "New"}
 
 
+def test_lines_of_the_monthly_table_meet_before_they_are_hashed(star):
+    fact, _, products = star
+    text = insights.agg_sales_monthly(fact, products, segments.CustomerRule())._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in text
+
+
 def test_order_and_birth_range(star):
     fact, customers, _ = star
     assert tuple(explore.order_range(fact).first()) == (D(2012, 1, 31), D(2014, 3, 1), 2, 26)
