@@ -12,6 +12,7 @@ from lakemart.functions.numbers import percent
 from lakemart.functions.text import UNKNOWN
 from lakemart.operators.measures import measure_rows, stack
 from lakemart.operators.running import running_totals
+from lakemart.operators.spreading import spread
 from lakemart.plans.reports import unit_margins
 from lakemart.plans.segments import CustomerRule, customer_segments, customer_spending
 from lakemart.plans.star import dated, per_member
@@ -235,16 +236,17 @@ def segment_shift(fact: DataFrame, rule: CustomerRule) -> DataFrame:
 def agg_sales_monthly(fact: DataFrame, products: DataFrame, rule: CustomerRule) -> DataFrame:
     """Dashboard table: month by category by customer segment, dated lines.
 
-    Lines are reduced to customer, product and month before both joins: the
-    fact is clustered by customer, so most of that happens before the shuffle.
+    Lines are reduced to customer, product and month before both joins. Those of
+    a customer and product meet first, as they are few and lie anywhere in the fact.
     """
     lines = dated(fact)
     segments = customer_spending(lines).select(
         F.col("customer_key").alias("_customer"),
         rule.label(F.col("lifespan_months"), F.col("total_spending")).alias("customer_segment"),
     )
+    needed = lines.select("customer_key", "product_key", month_start(F.col("order_date")).alias("order_month"), "sales_amount", "quantity")
     reduced = (
-        lines.groupBy("customer_key", "product_key", month_start(F.col("order_date")).alias("order_month"))
+        spread(needed, fact.count(), "customer_key", "product_key").groupBy("customer_key", "product_key", "order_month")
         .agg(F.sum("sales_amount").alias("sales"), F.sum("quantity").alias("units"), F.count("*").alias("lines"))
         .join(products.select("product_key", "category"), "product_key", "left")
     )
