@@ -53,17 +53,21 @@ def _write(rows: DataFrame, path: str, key: str, buckets: int) -> Clustered:
     return Clustered(spark, path, key, buckets, T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields]))
 
 
-def cluster(rows: DataFrame, path: str, key: str, spread_by: str, buckets: int, most: float = 0.25) -> Clustered:
+def cluster(rows: DataFrame, path: str, key: str, spread_by: str, buckets: int, most: float = 0.25, bucket_rows: int = 500_000) -> Clustered:
     """Lay ``rows`` out by ``key``. The one time that they are moved.
 
+    There are ``buckets``, and more where these would hold over ``bucket_rows``
+    rows on average: a bucket is sorted by one task here and in every join.
     A key (or NULL) that has more than ``most`` of an average bucket's rows is
     dealt by the hash of ``spread_by`` into as many salts as its rows need;
     there are fewer than ``buckets / most`` such keys.
     """
     counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
-    size = F.lit(max(1.0, rows.count() / buckets * most))
+    number = rows.count()
+    buckets = max(buckets, -(-number // bucket_rows))
+    size = F.lit(max(1.0, number / buckets * most))
     hot = counts.filter(F.col("_n") > size).select("_key", F.least(F.ceil(F.col("_n") / size), F.lit(buckets)).cast("int").alias("salts"))
-    hot.coalesce(1).write.parquet(f"{path}/hot")
+    hot.repartition(1).write.parquet(f"{path}/hot")
     hot = rows.sparkSession.read.parquet(f"{path}/hot")
     salts = F.broadcast(hot)  # fewer rows than buckets / most
     salted = rows.join(salts, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(

@@ -42,3 +42,22 @@ def test_clustering_without_rows(spark, tmp_path):
     large = cluster(lines, str(tmp_path / "none"), "customer", "line", buckets=4)
     partner = cluster_partner(spark.createDataFrame([(1, 2)], "customer_id long, customer_key long"), str(tmp_path / "keys"), "customer_id", large)
     assert look_up(large, partner).count() == 0
+
+
+def test_buckets_grow_with_the_rows(spark, shop, tmp_path):
+    lines, names, *_ = shop
+    large = cluster(lines, str(tmp_path / "more_lines"), "customer", "line", buckets=2, bucket_rows=500)
+    partner = cluster_partner(names, str(tmp_path / "more_names"), "customer_id", large)
+    assert large.buckets == partner.buckets == 12
+    sizes = [r["n"] for r in large.read().groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 8 and sum(sizes) == 6000 and max(sizes) < 1500
+    expected = lines.join(names, lines.customer == names.customer_id, "left").select("line", "customer_key")
+    assert sorted(map(tuple, look_up(large, partner).select("line", "customer_key").collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_customers_are_counted_by_more_than_one_task(spark, tmp_path, monkeypatch):
+    """Only the hot keys come to one task, not the counts of all keys."""
+    from pyspark.sql import DataFrame
+
+    monkeypatch.setattr(DataFrame, "coalesce", lambda *_: pytest.fail("the counts come to one task"))
+    cluster(spark.range(100).selectExpr("id AS customer", "id AS line"), str(tmp_path / "lines"), "customer", "line", buckets=2)
